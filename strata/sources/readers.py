@@ -116,9 +116,10 @@ def read_envelope(
     path: str | Sequence[str],
     records_key: str | None = None,
     schema: T.StructType | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Records of landed API pages: a directory of page files is read page by page."""
-    pages = read_json(spark, path, schema=schema, multiline=True, keep_corrupt=False)
+    """Records of landed API pages: one page per file, or one per line without multiline."""
+    pages = read_json(spark, path, schema=schema, multiline=multiline, keep_corrupt=False)
     return expand_envelope(pages, records_key)
 
 
@@ -128,9 +129,10 @@ def merge_pages(
     numeric: Sequence[str] = (),
     records_key: str | None = None,
     schema: T.StructType | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """One dataset from all landed pages, with the named columns as doubles."""
-    records = read_envelope(spark, path, records_key, schema)
+    records = read_envelope(spark, path, records_key, schema, multiline)
     columns = [
         F.col(c).cast("string").try_cast("double").alias(c) if c in numeric else F.col(c)
         for c in records.columns
