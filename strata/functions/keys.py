@@ -66,4 +66,6 @@ def murmur_bucket(column: str | Column, buckets: int) -> Column:
 def stable_label(column: str | Column, labels: Sequence[str]) -> Column:
     """Pick a label by the stable bucket of a column; NULL gives NULL."""
     choices = F.array(*[F.lit(label) for label in labels])
-    return F.element_at(choices, (stable_bucket(column, len(labels)) + 1).cast("int"))
+    picked = F.element_at(choices, (stable_bucket(column, len(labels)) + 1).cast("int"))
+    # element_at over a constant array ignores a NULL index, so NULL is kept out of it.
+    return F.when(_col(column).isNotNull(), picked)
