@@ -105,8 +105,12 @@ def _merge_partitions(
     merged = _merged(affected, _unique_source(source, keys), keys)
     write_table(merged, staged, "overwrite", fmt, partition_by)
     columns = spark.table(target).columns
-    rows = spark.table(staged).select(*columns)
-    rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(target)
+    # insertInto takes the overwrite mode from the session only, and another thread may be
+    # writing through this one: use a session of its own.
+    writer = spark.newSession()
+    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    writer.table(staged).select(*columns).write.mode("overwrite").insertInto(target)
+    spark.catalog.refreshTable(target)
     spark.sql(f"DROP TABLE {staged}")
 
 

@@ -71,3 +71,16 @@ def upsert_stream(
 
     writer = stream.writeStream.foreachBatch(merge)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def drain(query: StreamingQuery, spark: SparkSession, table: str | None = None) -> None:
+    """Wait for an ``availableNow`` query and raise what stopped it.
+
+    Micro-batches run in a session of their own; ``table`` is refreshed in the caller's, so
+    the next read there does not look for files the merge has replaced.
+    """
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    if table is not None and spark.catalog.tableExists(table):
+        spark.catalog.refreshTable(table)

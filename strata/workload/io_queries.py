@@ -34,7 +34,7 @@ from strata.sources.readers import (
     read_parquet,
     read_xml,
 )
-from strata.streaming.ingest import append_stream, stream_files, upsert_stream
+from strata.streaming.ingest import append_stream, drain, stream_files, upsert_stream
 from strata.workload.raw import table
 from strata.workload.registry import query
 
@@ -405,12 +405,6 @@ def _event_schema() -> T.StructType:
     )
 
 
-def _drain(query_) -> None:
-    query_.awaitTermination()
-    if query_.exception() is not None:
-        raise query_.exception()
-
-
 @query(
     "stream_incremental_ingest",
     """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type,
@@ -425,7 +419,7 @@ def stream_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     for wave in (events.filter(first), events.filter(~first)):
         wave.write.mode("append").json(landing)
         stream = stream_files(spark, landing, _event_schema())
-        _drain(append_stream(stream, out, checkpoint))
+        drain(append_stream(stream, out, checkpoint), spark)
     rows = spark.read.parquet(out)
     return rows.select("event_id", "ts", "event_type", "value", "_source_format")
 
@@ -445,5 +439,5 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     for wave in (events.filter(first), events.filter(~first)):
         wave.write.mode("append").json(landing)
         stream = stream_files(spark, landing, _event_schema())
-        _drain(upsert_stream(stream, name, ["user_id"], "ts", checkpoint))
+        drain(upsert_stream(stream, name, ["user_id"], "ts", checkpoint), spark, name)
     return spark.table(name).select("user_id", "event_id", "event_type", "value")
