@@ -66,6 +66,16 @@ def constant_lookup(
     return df.join(F.broadcast(side), F.col(column) == F.col("__lookup"), "left").drop("__lookup")
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_CONSTANT_ROWS) -> DataFrame:
+    """The frame with a broadcast hint if it has at most ``max_rows`` rows, else unchanged.
+
+    The check reads no more than ``max_rows + 1`` rows.  Use it for lookups with few distinct
+    keys, where a shuffle would put all rows into a few partitions.
+    """
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
+
+
 def with_exists_flag(
     df: DataFrame, column: str, reference: DataFrame, ref_column: str, flag: str
 ) -> DataFrame:

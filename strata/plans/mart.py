@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.casts import MONEY_SUM, guarded_ratio
 from strata.functions.keys import foreign_key, key_to_date
-from strata.operators.joins import resolve_key
+from strata.operators.joins import broadcast_if_small, resolve_key
 from strata.operators.shaping import conform
 from strata.plans.dimensions import Silver
 from strata.specs.gold import gold_schema
@@ -159,9 +159,11 @@ def mart_policy_360(
     mart = gold["dim_policy"]
     for table, key, columns in DIMENSION_COLUMNS:
         if table in gold:
-            mart = resolve_key(
-                mart, key, gold[table], key, columns, False, spread_nulls=["policy_key"]
-            )
+            lookup = gold[table]
+            if table == "dim_line_of_business":
+                # A handful of keys: shuffling by them would fill a handful of partitions.
+                lookup = broadcast_if_small(lookup)
+            mart = resolve_key(mart, key, lookup, key, columns, False, ["policy_key"])
 
     parts = []
     if "fact_premium" in gold:

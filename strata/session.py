@@ -21,6 +21,29 @@ SQL_SETTINGS = {
 }
 
 
+# Shuffle data one task should hold: it fits an executor core's share of memory with room
+# for the sort, and keeps the task count of a 100 TB shuffle in the hundreds of thousands.
+SHUFFLE_BYTES_PER_TASK = 256 * 1024**2
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 400_000
+
+
+def sized_for(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for jobs whose largest shuffle moves about that many bytes.
+
+    AQE starts from the computed number of partitions and joins small neighbours; it cannot
+    split what a too small number has put together (other than skewed joins).
+    """
+    wanted = -(-shuffle_bytes // SHUFFLE_BYTES_PER_TASK)
+    initial = min(max(wanted, MIN_PARTITIONS), MAX_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES_PER_TASK),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(
+            2 * SHUFFLE_BYTES_PER_TASK
+        ),
+    }
+
+
 def get_spark(
     app_name: str = "strata",
     master: str | None = None,
@@ -28,7 +51,7 @@ def get_spark(
     table_format: str = "parquet",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or return) a session.
+    """Build (or return) a session; pass ``extra=sized_for(bytes)`` for large jobs.
 
     ``table_format="delta"`` adds the Delta extension and catalog; the Delta jars must then
     be on the classpath.

@@ -1,12 +1,24 @@
-"""Catalog tables: overwrite, append, partitioned layout and upsert."""
+"""Catalog tables: overwrite, append, partitioned layout and upsert.
+
+A table other than Delta is replaced by writing a new version into a folder of its own and
+then pointing the name at it.  Nothing is moved or deleted: a job that fails, however late,
+leaves the old version in place, a rerun never meets its leftovers, and a table may be read
+by the query that replaces it.  Versions no longer named stay below the table's folder, as
+with Delta, until the site's retention removes them (:func:`current_location` tells which
+one is live).
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+STAGED = "__staged_"
+MERGED = "__merged_"
+
 
 def write_table(
     df: DataFrame,
@@ -17,7 +29,7 @@ def write_table(
     bucket_by: tuple[int, Sequence[str]] | None = None,
     merge_keys: Sequence[str] = (),
 ) -> None:
-    """Write a frame as a table.
+    """Write a frame as table ``schema.table``.
 
     ``mode="merge"`` needs ``merge_keys``.  ``bucket_by=(n, columns)`` stores the rows hashed
     and sorted by the columns, so later joins and aggregations on them need no shuffle.
@@ -27,17 +39,55 @@ def write_table(
             raise ValueError("merge needs merge_keys")
         upsert(df, name, merge_keys, fmt, partition_by)
         return
+    spark = df.sparkSession
     if partition_by:
         # Rows of one partition value meet in a few tasks (AQE splits large ones), so the
         # write makes large files instead of one per task and value.
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).mode(mode)
+    writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         buckets, columns = bucket_by
         writer = writer.bucketBy(buckets, *columns).sortBy(*columns)
-    writer.saveAsTable(name)
+    if fmt == "delta" or (mode == "append" and spark.catalog.tableExists(name)):
+        writer.mode(mode).saveAsTable(name)
+        return
+    version = uuid.uuid4().hex
+    schema, table = name.rsplit(".", 1)
+    root = spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+    staged = f"{name}{STAGED}{version}"
+    writer.option("path", f"{root}/{table}/{version}").saveAsTable(staged)
+    _take_name(spark, staged, name)
+
+
+def _take_name(spark: SparkSession, staged: str, name: str) -> None:
+    """Point the name at a staged version; both steps touch the catalog only."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+
+
+def _staged_versions(spark: SparkSession, name: str) -> list[str]:
+    """Complete versions that never took the name: a table is listed only once written."""
+    schema, table = name.rsplit(".", 1)
+    listed = spark.catalog.listTables(schema)
+    return [f"{schema}.{t.name}" for t in listed if t.name.startswith(f"{table}{STAGED}")]
+
+
+def recover_table(spark: SparkSession, name: str) -> bool:
+    """Finish a replacement that ended between its two catalog steps; is the table there?"""
+    if spark.catalog.tableExists(name):
+        return True
+    for staged in _staged_versions(spark, name)[:1]:
+        _take_name(spark, staged, name)
+        return True
+    return False
+
+
+def current_location(spark: SparkSession, name: str) -> str:
+    """Folder of the version the name points at."""
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return details.first().data_type
 
 
 def upsert(
@@ -49,34 +99,29 @@ def upsert(
 ) -> None:
     """Update all columns of matching keys, insert the rest; create the table if absent.
 
-    NULL keys match nothing.  A source holding one key twice fails the query.  Delta tables
-    use MERGE; others are written to a staging table that then takes the target's name.
+    NULL keys match nothing.  A source holding one key twice fails the query and leaves the
+    target as it was.  Delta tables use MERGE.  Where the partition columns belong to the
+    key, only the partitions the source touches are rewritten.
     """
     spark = source.sparkSession
-    staged = f"{target}__staged"
-    if not spark.catalog.tableExists(target) and spark.catalog.tableExists(staged):
-        # An earlier run ended between drop and rename; the staged table is complete.
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
-    if not spark.catalog.tableExists(target):
-        write_table(_unique_source(source, keys), target, "overwrite", fmt, partition_by)
-        return
-    if fmt == "delta":
+    checked = _unique_source(source, keys)
+    if not recover_table(spark, target):
+        write_table(checked, target, "overwrite", fmt, partition_by)
+    elif fmt == "delta":
         _delta_merge(source, target, keys)
-        return
-    if partition_by and set(partition_by) <= set(keys):
-        _merge_partitions(source, target, keys, fmt, partition_by)
-        return
-    # A staged table beside a live target is the rest of a write that failed.
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    merged = _merged(spark.table(target), _unique_source(source, keys), keys)
-    write_table(merged, staged, "overwrite", fmt, partition_by)
-    spark.sql(f"DROP TABLE {target}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+    elif partition_by and set(partition_by) <= set(keys):
+        _merge_partitions(source, checked, target, keys, fmt, partition_by)
+    else:
+        merged = _merged(spark.table(target), source, checked, keys)
+        write_table(merged, target, "overwrite", fmt, partition_by)
 
 
-def _merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _merged(
+    target: DataFrame, source: DataFrame, checked: DataFrame, keys: Sequence[str]
+) -> DataFrame:
+    """Target rows without a match, and all source rows."""
     kept = target.join(source.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(source.select(*target.columns))
+    return kept.select(*target.columns).unionByName(checked.select(*target.columns))
 
 
 def _unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -93,25 +138,32 @@ def _unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _merge_partitions(
-    source: DataFrame, target: str, keys: Sequence[str], fmt: str, partition_by: Sequence[str]
+    source: DataFrame,
+    checked: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    fmt: str,
+    partition_by: Sequence[str],
 ) -> None:
-    """Rewrite only the partitions the source touches: their columns are part of the key."""
+    """Rewrite only the partitions the source touches.
+
+    The merged rows are written first, because a table cannot be overwritten while it is
+    read.  A run that fails in between is repeated with the same outcome.
+    """
     spark = source.sparkSession
-    staged = f"{target}__staged"
+    merged_rows = f"{target}{MERGED}{uuid.uuid4().hex}"
     touched = source.select(*partition_by).distinct()
     affected = spark.table(target).join(touched, list(partition_by), "left_semi")
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    # Staged first: a table cannot be overwritten while it is being read.
-    merged = _merged(affected, _unique_source(source, keys), keys)
-    write_table(merged, staged, "overwrite", fmt, partition_by)
+    merged = _merged(affected, source, checked, keys)
+    write_table(merged, merged_rows, "overwrite", fmt, partition_by)
     columns = spark.table(target).columns
     # insertInto takes the overwrite mode from the session only, and another thread may be
     # writing through this one: use a session of its own.
     writer = spark.newSession()
     writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    writer.table(staged).select(*columns).write.mode("overwrite").insertInto(target)
+    writer.table(merged_rows).select(*columns).write.mode("overwrite").insertInto(target)
     spark.catalog.refreshTable(target)
-    spark.sql(f"DROP TABLE {staged}")
+    spark.sql(f"DROP TABLE {merged_rows}")
 
 
 def _delta_merge(source: DataFrame, target: str, keys: Sequence[str]) -> None:
@@ -134,7 +186,12 @@ def create_schemas(
 
 def row_counts(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
     """Rows per table of the schemas: one union of counts, one job, no driver loop over data."""
-    listed = [(s, t.name) for s in schemas for t in spark.catalog.listTables(s)]
+    listed = [
+        (s, t.name)
+        for s in schemas
+        for t in spark.catalog.listTables(s)
+        if STAGED not in t.name and MERGED not in t.name
+    ]
     counts = [
         spark.table(f"{s}.{t}").agg(F.count("*").alias("row_count")).select(
             F.lit(s).alias("schema_name"), F.lit(t).alias("table_name"), "row_count"

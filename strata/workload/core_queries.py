@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.casts import MONEY, MONEY_SUM, money, safe_cast
@@ -223,54 +223,54 @@ def column_recipe_table(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- flattening -------------------------------------------------------------------------
 
-_CLAIM_MAPS = """collect_list(case when l_orderkey is not null then
-    map('claim_id', concat(cast(l_orderkey as string), '-', cast(l_linenumber as string),
-        '-', cast(l_partkey as string), '-', cast(l_suppkey as string)),
-        'status', l_linestatus, 'amount', cast(cast(l_extendedprice as decimal(18,2)) as string))
-    end)"""
 _CLAIM_ID = """concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-',
     cast(l_partkey as string), '-', cast(l_suppkey as string))"""
+_PARTS = "(SELECT * FROM lineitem CROSS JOIN (VALUES ('a'), ('b')) AS v(part))"
 
 
-def _nested_orders(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with their lines as nested claims; an order has at most a few lines."""
+def _nested_claims(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with one line as two claims each, in an array; none for an order without lines.
+
+    The arrays are built within the row: their size does not depend on how often a key occurs.
+    """
     orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    claims = lines.groupBy("l_orderkey").agg(
-        F.collect_list(
-            F.struct(
-                F.expr(_CLAIM_ID).alias("claim_id"),
-                F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_of_occurrence"),
-                F.col("l_returnflag").alias("claim_type"),
-                money(F.col("l_extendedprice")).cast("string").alias("amount"),
-                F.col("l_linestatus").alias("status"),
-            )
-        ).alias("claims")
-    )
-    return orders.join(claims, orders.o_orderkey == claims.l_orderkey, "left").drop("l_orderkey")
+
+    def claim(part: str) -> Column:
+        return F.struct(
+            F.concat(F.expr(_CLAIM_ID), F.lit(part)).alias("claim_id"),
+            F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_of_occurrence"),
+            F.col("l_returnflag").alias("claim_type"),
+            money(F.col("l_extendedprice")).cast("string").alias("amount"),
+            F.col("l_linestatus").alias("status"),
+        )
+
+    claims = F.array(claim("a"), claim("b"))
+    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    return joined.withColumn("claims", F.when(F.col("l_orderkey").isNotNull(), claims))
 
 
 @query(
     "flatten_map_payload",
     f"""SELECT cast(o_orderkey AS varchar) AS policy_id, concat('Customer ', o_custkey) AS employer_name,
     cast(null AS varchar) AS fein, o_orderstatus AS class_code,
-    CASE WHEN l_orderkey IS NOT NULL THEN {_CLAIM_ID} END AS claim_id,
+    CASE WHEN l_orderkey IS NOT NULL THEN concat({_CLAIM_ID}, part) END AS claim_id,
     cast(cast(l_extendedprice AS decimal(18,2)) AS varchar) AS amount
-    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
+    FROM orders LEFT JOIN {_PARTS} ON o_orderkey = l_orderkey""",
 )
 def flatten_map_payload(spark: SparkSession, sf: str) -> DataFrame:
-    claim_map = (
-        lambda c: F.create_map(
-            F.lit("claim_id"), c["claim_id"], F.lit("amount"), c["amount"], F.lit("status"), c["status"]
+    def as_map(claim: Column) -> Column:
+        return F.create_map(
+            F.lit("claim_id"), claim["claim_id"], F.lit("amount"), claim["amount"]
         )
-    )
-    payload = _nested_orders(spark, sf).select(
+
+    payload = _nested_claims(spark, sf).select(
         F.col("o_orderkey").cast("string").alias("policy_id"),
         F.lit(None).cast("string").alias("policy_number"),
         F.create_map(
             F.lit("employer_name"), F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))
         ).alias("employer_info"),
         F.create_map(F.lit("class_code"), F.col("o_orderstatus")).alias("coverage_details"),
-        F.transform("claims", claim_map).alias("claims"),
+        F.transform("claims", as_map).alias("claims"),
     )
     return flatten_payload(
         conform(payload, payload_schema("workers_comp")),
@@ -289,12 +289,11 @@ def flatten_map_payload(spark: SparkSession, sf: str) -> DataFrame:
     "flatten_struct_payload",
     f"""SELECT cast(o_orderkey AS varchar) AS policy_id, concat('Customer ', o_custkey) AS insured_name,
     o_orderstatus AS business_type, cast({PRICE} AS varchar) AS premium,
-    CASE WHEN l_orderkey IS NOT NULL THEN {_CLAIM_ID} END AS claim_id,
+    CASE WHEN l_orderkey IS NOT NULL THEN concat({_CLAIM_ID}, part) END AS claim_id,
     strftime(l_shipdate, '%Y-%m-%d') AS date_of_occurrence, l_returnflag AS claim_type
-    FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
+    FROM orders LEFT JOIN {_PARTS} ON o_orderkey = l_orderkey""",
 )
 def flatten_struct_payload(spark: SparkSession, sf: str) -> DataFrame:
-    nested = _nested_orders(spark, sf)
     none = F.lit(None).cast("string")
     insured = F.struct(
         F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("name"),
@@ -305,7 +304,7 @@ def flatten_struct_payload(spark: SparkSession, sf: str) -> DataFrame:
         *[none.alias(c) for c in ("occurrence_limit", "aggregate_limit", "deductible")],
         F.expr(PRICE).cast("string").alias("premium"),
     )
-    payload = nested.select(
+    payload = _nested_claims(spark, sf).select(
         F.col("o_orderkey").cast("string").alias("policy_id"),
         none.alias("policy_number"),
         insured.alias("insured"),

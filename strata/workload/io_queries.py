@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,40 +142,35 @@ def parquet_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- API pages --------------------------------------------------------------------------
 
-PAGE = 1000
+# A response carries an order as billed and as invoiced, so a page never grows with the data.
 
 
 def _land_pages(spark: SparkSession, sf: str) -> str:
-    """Orders as API responses of at most PAGE records, one response per line."""
+    """Orders as API responses, one response per line."""
     path = scratch_path(spark, "pages")
-    record = F.struct(
-        "o_orderkey",
-        F.col("o_orderstatus").alias("status"),
-        F.when(F.col("o_orderpriority") == "5-LOW", "N/A")
-        .otherwise(F.expr(PRICE).cast("string"))
-        .alias("price"),
-    )
-    pages = table(spark, sf, "orders").groupBy(
-        F.floor(F.col("o_orderkey") / PAGE).alias("page")
-    )
+
+    def record(kind: str, price: str) -> Column:
+        return F.struct(
+            "o_orderkey", F.lit(kind).alias("kind"), F.expr(price).cast("string").alias("price")
+        )
+
     envelope = F.struct(
-        F.create_map(F.lit("page"), F.col("page").cast("string")).alias("metadata"),
-        F.col("records"),
+        F.create_map(F.lit("status"), F.col("o_orderstatus")).alias("metadata"),
+        F.array(record("billed", PRICE), record("invoiced", _INVOICED)).alias("records"),
     )
-    documents = pages.agg(F.collect_list(record).alias("records"))
-    documents.select(F.to_json(envelope).alias("value")).write.text(path)
+    documents = table(spark, sf, "orders").select(F.to_json(envelope).alias("value"))
+    documents.write.text(path)
     return path
 
 
+_INVOICED = f"case when o_orderpriority = '5-LOW' then 'N/A' else cast({PRICE} as string) end"
 _ENVELOPE = """metadata map<string,string>,
-    records array<struct<o_orderkey: bigint, status: string, price: string>>"""
-_PAGE_PRICE = f"CASE WHEN o_orderpriority = '5-LOW' THEN 'N/A' ELSE cast({PRICE} AS varchar) END"
+    records array<struct<o_orderkey: bigint, kind: string, price: string>>"""
+_RECORDS_SQL = f"""(SELECT o_orderkey, 'billed' AS kind, cast({PRICE} AS varchar) AS price FROM orders
+    UNION ALL SELECT o_orderkey, 'invoiced', {_INVOICED} FROM orders)"""
 
 
-@query(
-    "envelope_explode",
-    f"SELECT o_orderkey, o_orderstatus AS status, {_PAGE_PRICE} AS price FROM orders",
-)
+@query("envelope_explode", f"SELECT o_orderkey, kind, price FROM {_RECORDS_SQL}")
 def envelope_explode(spark: SparkSession, sf: str) -> DataFrame:
     path = _land_pages(spark, sf)
     return read_envelope(spark, path, schema=schema_of(_ENVELOPE), multiline=False)
@@ -183,8 +178,7 @@ def envelope_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "paged_merge",
-    f"""SELECT o_orderkey, o_orderstatus AS status, try_cast({_PAGE_PRICE} AS double) AS price
-    FROM orders""",
+    f"SELECT o_orderkey, kind, try_cast(price AS double) AS price FROM {_RECORDS_SQL}",
 )
 def paged_merge(spark: SparkSession, sf: str) -> DataFrame:
     path = _land_pages(spark, sf)

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from strata.operators.shaping import all_strings, schema_of
 from strata.session import scratch_path, shared_root
 from strata.sinks.files import reland_csv, write_csv, write_json_lines, write_xml
-from strata.sinks.tables import create_schemas, row_counts, upsert, write_table
+from strata.sinks.tables import (
+    create_schemas,
+    current_location,
+    row_counts,
+    upsert,
+    write_table,
+)
 from strata.sources.generate import ROW_COUNTS, generate_table
 from strata.sources.manifest import (
     SEMI_STRUCTURED,
@@ -214,7 +220,7 @@ def test_upsert_rejects_a_repeated_source_key(spark, schema):
 
 
 def test_upsert_recovers_a_staged_table(spark, schema):
-    write_table(frame(spark, [("a", "x", 1)]), f"{schema}.u__staged")
+    write_table(frame(spark, [("a", "x", 1)]), f"{schema}.u__staged_1")
     upsert(frame(spark, [("b", "x", 2)]), f"{schema}.u", ["k"])
     assert rows(spark.table(f"{schema}.u")) == [("a", "x", 1), ("b", "x", 2)]
 
@@ -230,6 +236,19 @@ def test_upsert_rewrites_only_touched_partitions(spark, schema):
     assert after == {files["y"]}
 
 
+def test_a_failed_overwrite_leaves_the_table_and_can_be_repeated(spark, schema):
+    name = f"{schema}.t"
+    write_table(spark.range(3), name)
+    broken = spark.range(5).selectExpr("if(id = 4, raise_error('late'), id) AS id")
+    for _ in range(2):
+        with pytest.raises(PySparkException, match="late"):
+            write_table(broken, name)
+        assert spark.table(name).count() == 3
+    write_table(spark.table(name).filter("id > 0"), name)
+    assert rows(spark.table(name)) == [(1,), (2,)]
+    assert f"{schema}" in current_location(spark, name)
+
+
 def test_merge_mode_needs_keys(spark, schema):
     with pytest.raises(ValueError, match="merge_keys"):
         write_table(spark.range(1), f"{schema}.t", mode="merge")
