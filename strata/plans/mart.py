@@ -20,57 +20,39 @@ from strata.specs.lines import LINES, WORKERS_COMP, Line
 Gold = dict[str, DataFrame]
 
 # Dimension columns and the names they take in the mart.
-DIMENSION_COLUMNS = (
-    (
-        "dim_insured",
-        "insured_key",
-        {
-            "insured_name": "insured_name",
-            "insured_type": "insured_type",
-            "date_of_birth": "insured_dob",
-            "gender": "insured_gender",
-            "ein": "insured_ein",
-            "naics_code": "insured_naics",
-            "industry": "insured_industry",
-            "employee_count": "insured_employee_count",
-            "annual_revenue": "insured_annual_revenue",
-        },
-    ),
-    (
-        "dim_line_of_business",
-        "lob_key",
-        {
-            "lob_code": "lob_code",
-            "lob_name": "lob_name",
-            "lob_category": "lob_category",
-            "naic_code": "naic_code",
-        },
-    ),
-    (
-        "dim_agent",
-        "agent_key",
-        {
-            "agent_name": "agent_name",
-            "agency_name": "agency_name",
-            "agency_code": "agency_code",
-            "commission_tier": "commission_tier",
-        },
-    ),
-    (
-        "dim_location",
-        "location_key",
-        {
-            "address_line1": "policy_address",
-            "city": "policy_city",
-            "state_code": "policy_state",
-            "state_name": "policy_state_name",
-            "zip_code": "policy_zip",
-            "latitude": "policy_latitude",
-            "longitude": "policy_longitude",
-            "flood_zone": "policy_flood_zone",
-        },
-    ),
-)
+INSURED_COLUMNS = {
+    "insured_name": "insured_name",
+    "insured_type": "insured_type",
+    "date_of_birth": "insured_dob",
+    "gender": "insured_gender",
+    "ein": "insured_ein",
+    "naics_code": "insured_naics",
+    "industry": "insured_industry",
+    "employee_count": "insured_employee_count",
+    "annual_revenue": "insured_annual_revenue",
+}
+LINE_COLUMNS = {
+    "lob_code": "lob_code",
+    "lob_name": "lob_name",
+    "lob_category": "lob_category",
+    "naic_code": "naic_code",
+}
+AGENT_COLUMNS = {
+    "agent_name": "agent_name",
+    "agency_name": "agency_name",
+    "agency_code": "agency_code",
+    "commission_tier": "commission_tier",
+}
+LOCATION_COLUMNS = {
+    "address_line1": "policy_address",
+    "city": "policy_city",
+    "state_code": "policy_state",
+    "state_name": "policy_state_name",
+    "zip_code": "policy_zip",
+    "latitude": "policy_latitude",
+    "longitude": "policy_longitude",
+    "flood_zone": "policy_flood_zone",
+}
 
 
 def premium_rollup(fact: DataFrame) -> DataFrame:
@@ -145,25 +127,50 @@ def with_expiry(df: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def _with_insured(mart: DataFrame, insured: DataFrame) -> DataFrame:
+    """Join the insured on the policy key.
+
+    There is one insured per policy id, so both keys hash the same id and are equal wherever
+    a policy has an insured.  Joining on the policy key saves shuffling the mart row by a
+    second key; a policy for which the two differ fails the query.
+    """
+    same = F.col("insured_key") == F.col("policy_key")
+    stop = F.raise_error(F.lit("insured_key differs from policy_key")).cast("string")
+    checked = F.when(same | F.col("insured_key").isNull(), F.col("insured_key")).otherwise(stop)
+    side = insured.select(
+        F.col("insured_key").alias("__insured"),
+        *[F.col(c).alias(name) for c, name in INSURED_COLUMNS.items()],
+    )
+    policies = mart.withColumn("insured_key", checked)
+    condition = (F.col("policy_key") == F.col("__insured")) & F.col("insured_key").isNotNull()
+    return policies.join(side, condition, "left").drop("__insured")
+
+
 def mart_policy_360(
     gold: Gold, silver: Silver, as_of: date, lines: Sequence[Line] = LINES
 ) -> DataFrame | None:
     """Policy, dimensions, rolled-up facts and line attributes in one row.
 
-    Dimensions are joined first, while the rows are narrow.  Everything at policy grain is
-    keyed by ``policy_key`` - also the Silver attributes - so all those joins share one
-    shuffle of the mart row.  Missing inputs leave typed NULLs (zero for counts).
+    Line, agent and location are joined first, while the rows are narrow.  Everything at
+    policy grain is joined on ``policy_key`` - the insured and the Silver attributes too - so
+    all those joins share one shuffle of the mart row.  Missing inputs leave typed NULLs
+    (zero for counts).
     """
     if "dim_policy" not in gold:
         return None
     mart = gold["dim_policy"]
-    for table, key, columns in DIMENSION_COLUMNS:
+    if "dim_line_of_business" in gold:
+        # A handful of keys: shuffling by them would fill a handful of partitions.
+        lookup = broadcast_if_small(gold["dim_line_of_business"])
+        mart = resolve_key(mart, "lob_key", lookup, "lob_key", LINE_COLUMNS, False)
+    for table, key, columns in (
+        ("dim_agent", "agent_key", AGENT_COLUMNS),
+        ("dim_location", "location_key", LOCATION_COLUMNS),
+    ):
         if table in gold:
-            lookup = gold[table]
-            if table == "dim_line_of_business":
-                # A handful of keys: shuffling by them would fill a handful of partitions.
-                lookup = broadcast_if_small(lookup)
-            mart = resolve_key(mart, key, lookup, key, columns, False, ["policy_key"])
+            mart = resolve_key(mart, key, gold[table], key, columns, False, ["policy_key"])
+    if "dim_insured" in gold:
+        mart = _with_insured(mart, gold["dim_insured"])
 
     parts = []
     if "fact_premium" in gold:

@@ -18,7 +18,7 @@ from strata.specs.lines import silver_specs
 
 STATUS_DDL = "table_name string, source_format string, status string, reason string"
 # Independent loads submitted at once; Spark still decides where their tasks run.
-CONCURRENT_LOADS = 4
+CONCURRENT_LOADS = 8
 
 
 @dataclass(frozen=True)

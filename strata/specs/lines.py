@@ -481,7 +481,7 @@ PROFESSIONAL = Line(
         "claim_type": "'Professional'",
     },
     paid="paid_amount",
-    reserve="claimed_amount - paid_amount",
+    reserve="coalesce(claimed_amount, 0) - coalesce(paid_amount, 0)",
     location=None,
     attributes={},
     transaction_type="case when paid_amount > 0 then 'Payment' else 'Reserve' end",

@@ -5,6 +5,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -305,9 +306,23 @@ def test_policy_joins_of_the_mart_share_one_shuffle(lake, plan):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     joins = text.count("SortMergeJoin [policy_key#")
-    assert joins == 9
-    # One exchange on policy_key per joined side and one for the mart row itself.
-    assert text.count("hashpartitioning(policy_key#") - text.count("claim_key#") <= joins + 1
+    assert joins == 10
+    # The mart row itself is shuffled by agent, location and once by policy.
+    row_shuffles = [x for x in text.splitlines() if "hashpartitioning(__probe#" in x]
+    assert len(row_shuffles) == 2
+    shuffles = [x for x in text.splitlines() if "hashpartitioning(policy_key#" in x]
+    assert len([x for x in shuffles if "claim_key#" not in x]) <= joins
+
+
+def test_an_insured_of_another_policy_is_refused(lake):
+    gold = lake.existing("gold", GOLD_INPUTS)
+    other = gold["dim_policy"].withColumn("insured_key", F.md5(F.lit("someone")))
+    with pytest.raises(PySparkException, match="insured_key differs"):
+        mart_policy_360({**gold, "dim_policy": other}, {}, AS_OF).collect()
+    none = gold["dim_policy"].withColumn("insured_key", F.lit(None).cast("string"))
+    mart = mart_policy_360({**gold, "dim_policy": none}, {}, AS_OF)
+    assert mart.filter("insured_name IS NOT NULL").count() == 0
+    assert mart.count() == none.count()
 
 
 # --- sixth line -------------------------------------------------------------------------
