@@ -40,7 +40,7 @@ from strata.specs.bronze import payload_schema
 from strata.specs.reference import RISK_TIERS, US_STATES
 from strata.sources.generate import apply_recipe
 from strata.workload import oracle
-from strata.workload.raw import CITY, PRIORITY, STATE, ZIP, pad, table
+from strata.workload.raw import PRIORITY, STATE, pad, table
 from strata.workload.registry import query
 
 PRICE = "cast(o_totalprice as decimal(18,2))"
@@ -244,9 +244,14 @@ def _nested_claims(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_linestatus").alias("status"),
         )
 
-    claims = F.array(claim("a"), claim("b"))
-    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    return joined.withColumn("claims", F.when(F.col("l_orderkey").isNotNull(), claims))
+    same = orders.o_orderkey == lines.l_orderkey
+    # Inner and anti join instead of one left join: a key frequent among the lines can then
+    # be split, which an outer join allows on its outer side only.
+    matched = orders.join(lines, same).select(
+        *orders.columns, F.array(claim("a"), claim("b")).alias("claims")
+    )
+    alone = orders.join(lines, same, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
 
 
 @query(
