@@ -119,7 +119,8 @@ def silver_sql(spec: TableSpec) -> str:
     issues = check_sql(spec)
     return (
         f"SELECT {', '.join(columns)}, {issues} = '' AS _is_valid, {issues} AS _dq_issues, "
-        f"_ingestion_timestamp FROM ({typed_sql(spec)} "
+        # The extra level makes the order see derived columns, not the ones they replace.
+        f"_ingestion_timestamp FROM (SELECT * FROM ({typed_sql(spec)}) "
         f"{first_per(spec.key, '_ingestion_timestamp DESC NULLS LAST', rest)})"
     )
 
