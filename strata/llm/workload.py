@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann_forest, licences, mixing, sentencepiece_bpe
+from strata.llm import ann_forest, licences, mixing, ppm, sentencepiece_bpe
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode(
         table(spark, sf_dir, "documents"), sentencepiece_bpe.default_model(spark), digests=True
     )
+
+
+@query
+def op4_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
