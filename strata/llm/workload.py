@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann_forest, licences, mixing, ngram_join, ppm, sentencepiece_bpe, suffix_dedup
+from strata.llm import ann_forest, licences, line_dedup, mixing, ngram_join, ppm, sentencepiece_bpe, spotsigs, suffix_dedup
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,21 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(
         table(spark, sf_dir, "documents"), size=4, threshold=(85, 100)
     ).drop("digest")
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.aligned_lines(table(spark, sf_dir, "documents"))
+    kept = line_dedup.kept_text(F.col("text"), F.col("__deleted"))
+    return found.select(
+        "doc_id",
+        F.coalesce("__lines", F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size("__deleted"), F.lit(0)).alias("n_deleted"),
+        F.coalesce("__deleted", F.expr("array()")).cast("array<int>").alias("deleted_lines"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
