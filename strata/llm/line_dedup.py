@@ -164,7 +164,12 @@ def kept_text(text, deleted):
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the lines that earlier documents hold; a row stays even if none is left."""
+    """``docs`` without the lines that earlier documents hold.
+
+    A row of which no words are left goes with them; a row that loses nothing stays as it is.
+    """
     text = options.get("text_col", "text")
     found = aligned_lines(docs, **options)
+    left = kept_text(F.col(text), F.col("__deleted"))
+    found = found.where(F.col("__deleted").isNull() | left.rlike(WORD))
     return found.withColumn(text, kept_text(F.col(text), F.col("__deleted"))).select(*docs.columns)

@@ -296,3 +296,20 @@ def similar_components(
         F.when(F.col("digest").isNull(), F.col("__id")).otherwise(F.col("component")).alias("component_id"),
         F.hex("digest").alias("digest"),
     )
+
+
+def representatives(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component of similar texts: that of the smallest id.
+
+    Texts without words stay, and so do rows without an id, which nothing can name; of rows equal
+    in id and text one stays.
+    """
+    found = similar_components(docs, id_col=id_col, text_col=text_col, **options)
+    kept = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept"))
+    kept = written(kept.distinct(), "join-kept")
+    stays = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi")
+    if docs.where(F.col(id_col).isNull()).limit(1).count():
+        stays = stays.unionByName(docs.where(F.col(id_col).isNull()))
+    if docs.groupBy(id_col).count().where("count > 1").limit(1).count():
+        stays = stays.dropDuplicates([id_col, text_col])
+    return stays

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann_forest, licences, line_dedup, mixing, ngram_join, ppm, sentencepiece_bpe, spotsigs, suffix_dedup
+import corpus_pipeline
+from strata.llm import ann_forest, licences, line_dedup, mixing, ngram_join, ppm, sentencepiece_bpe, spotsigs, suffix_dedup, toxicity
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,9 @@ def query(build):
     return build
 
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
+
 @query
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
@@ -87,3 +91,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), training=remainder != 2)
+    return toxicity.score(docs, model).withColumn(
+        "held_out", F.coalesce(remainder == 2, F.lit(False))
+    )
