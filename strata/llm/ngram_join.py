@@ -4,8 +4,8 @@ The document by n-gram incidence matrix is multiplied with itself in blocks, and
 has to be: with the n-grams of each row in one order, frequent ones last, two similar sets share
 one of their first few n-grams, how many follows from their sizes.  Equal sets are one row.
 
-1.  The rows of an n-gram are first checked against one of them.  That settles groups of
-    copies with as many products as rows.
+1.  The rows of an n-gram are first checked against its hub, the row that meets the most others.
+    That settles groups of copies with as many products as rows.
 2.  What is left are rows of one n-gram in different components.  They are multiplied block by
     block, counting the overlap of their leading n-grams; pairs below the bound that follows
     from their sizes are dropped, and the others are checked on their whole sets.
@@ -31,6 +31,8 @@ from strata.llm.shingles import shingle_sets
 SLOT_BITS = 22
 #: N-grams a task counts at once, rows of a block of the product, rows that are paired by a join.
 COUNTED, BLOCK_ROWS, FEW = 4_000_000, 512, 12
+#: Times that an n-gram's rows are checked against one of them before all others are multiplied.
+STAR_TURNS = 2
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -106,7 +108,8 @@ def _products(table: pa.Table, num: int, den: int) -> Iterator[tuple[int, int]]:
     left = table.column("left").to_numpy(zero_copy_only=False)
     right = table.column("right").to_numpy(zero_copy_only=False)
     lists = table.column("lead").combine_chunks()
-    bounds, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+    flat = lists.flatten().to_numpy()
+    bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     row = np.repeat(np.arange(len(c)), np.diff(bounds))
     distinct, column, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = times[column.ravel()] > 1
@@ -125,12 +128,19 @@ def _products(table: pa.Table, num: int, den: int) -> Iterator[tuple[int, int]]:
             at = place[row[here]]
             dense[side, at[at >= 0], column[here][at >= 0] - begin] = 1
         product += dense[0, : len(a)] @ dense[1, : len(b)].T
-    for i, j in np.argwhere(product > 0):
+    size, last = np.diff(bounds), flat[bounds[1:] - 1]
+    of_a, of_b = lambda x: x[a][:, None], lambda x: x[b][None, :]
+    needed = -(-num * (of_a(n) + of_b(n)) // (num + den))
+    least = np.where(
+        of_a(last) <= of_b(last), of_a(size) - of_a(n) + needed, of_b(size) - of_b(n) + needed
+    )
+    alike = (product >= np.maximum(least, 1)) & (np.minimum(of_a(n), of_b(n)) >= needed)
+    alike &= (of_a(root) != of_b(root)) & ((of_a(c) < of_b(c)) | ~of_b(left))
+    for i, j in np.argwhere(alike):
         x, y = a[i], b[j]
-        if c[x] < c[y] and root[x] != root[y] or (not left[y] and root[x] != root[y]):
-            lead_x, lead_y = flat[bounds[x] : bounds[x + 1]], flat[bounds[y] : bounds[y + 1]]
-            if passing(lead_x, lead_y, n[x], n[y], int(product[i, j]), num, den):
-                yield int(min(c[x], c[y])), int(max(c[x], c[y]))
+        lead_x, lead_y = flat[bounds[x] : bounds[x + 1]], flat[bounds[y] : bounds[y + 1]]
+        if passing(lead_x, lead_y, n[x], n[y], int(product[i, j]), num, den):
+            yield int(min(c[x], c[y])), int(max(c[x], c[y]))
 
 
 def similar_components(
@@ -194,12 +204,14 @@ def similar_components(
     repeated_ids = bool(
         heads.where("digest is not null").groupBy("__id").count().where("count > 1").limit(1).count()
     )
-    # Who else has a leading n-gram, and one of them to be checked against.
+    # Who else has a leading n-gram.  A text that others are copies of shares the most of them.
     entries = classes.select(F.explode("lead").alias("s"), "c", "n")
-    met = entries.groupBy("s").agg(F.count("*").alias("many"), F.min("c").alias("first")).where("many > 1")
+    met = entries.groupBy("s").agg(F.count("*").alias("many")).where("many > 1")
     postings = written(entries.join(met, "s"), "join-postings")
-    stars = postings.where("first != c").select(F.col("first").alias("a"), F.col("c").alias("b"))
-    stars = stars.distinct()
+    degrees = postings.groupBy("c").agg(F.sum("many").alias("degree"))
+    postings = written(
+        postings.drop("many").join(degrees, "c").withColumn("root", F.col("c")), "join-postings"
+    )
     lead = classes.select("c", "n", "lead")
 
     def bounded(pairs: DataFrame) -> DataFrame:
@@ -232,13 +244,21 @@ def similar_components(
         union = F.size("ids_a") + F.size("ids_b") - F.col("both")
         return full.withColumn("both", both).where(F.col("both") * den >= union * num).select("a", "b")
 
-    links = written(checked(bounded(stars)), "join-links")
-    roots = components(links)
-
-    placed = postings.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn(
-        "root", F.coalesce("root", "c")
-    )
-    placed = written(placed.select("s", "c", "n", "root"), "join-placed")
+    hub = F.max(F.struct("degree", "c", "root")).alias("hub")
+    placed, links = postings, None
+    for turn in range(STAR_TURNS):
+        hubs = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub)
+        hubs = hubs.where("low != high").select("s", "hub")
+        if turn:  # the first hubs have met all: now the best of the other components
+            hubs = placed.join(hubs.withColumnRenamed("hub", "met"), "s").where("root != met.root")
+            hubs = hubs.groupBy("s").agg(hub)
+        stars = placed.join(hubs, "s").where("root != hub.root")
+        stars = stars.select(F.least("c", "hub.c").alias("a"), F.greatest("c", "hub.c").alias("b"))
+        new = checked(bounded(stars.distinct()))
+        links = written(new if links is None else links.unionByName(new), "join-links")
+        roots = components(links).withColumnRenamed("node", "c")
+        placed = placed.drop("root").join(roots, "c", "left")
+        placed = written(placed.withColumn("root", F.coalesce("root", "c")), "join-placed")
     alike = F.least("n", "n_b") * den >= F.greatest("n", "n_b") * num
     mixed = (
         placed.groupBy("s")
