@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Segments a task remembers; beyond it starts afresh, so memory stays bounded.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 class Vocabulary:
@@ -44,6 +44,8 @@ class Vocabulary:
         }
         self.surface = {i: p.encode() for p, i in self.ids.items()}
         self.surface |= {i: bytes([b]) for b, i in self.bytes.items()}
+        # Neighbours that no piece holds are never merged, nor anything across them.
+        self.joined = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         spaced = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         broken = any("\n" in p for p in self.ids)
         if spaced:
@@ -91,6 +93,11 @@ class Vocabulary:
             i = after[i]
         return found
 
+    def parts(self, segment: str) -> list[str]:
+        """The segment, cut between characters that no piece holds side by side."""
+        cuts = [k for k in range(1, len(segment)) if segment[k - 1 : k + 1] not in self.joined]
+        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)], strict=True)]
+
     def decode(self, ids: list[int]) -> str:
         """Text of a segment's ids, its space marks as spaces."""
         surface = b"".join(self.surface.get(i, b"") for i in ids)
@@ -100,42 +107,63 @@ class Vocabulary:
         return self.segments.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+class Known(dict):
+    """Segment -> (its ids as decimal text, its decoded text), filled as segments are met."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.fresh = vocabulary, []
+        self.merged: dict[str, list[int]] = {}
+
+    def __missing__(self, segment: str) -> tuple[str, str]:
+        own = []
+        whole = segment[1:].isalpha() and segment[0] == SPACE
+        for part in (segment,) if whole else self.vocabulary.parts(segment):
+            ids = self.merged.get(part)
+            if ids is None:
+                ids = self.merged[part] = self.vocabulary.merge(part)
+            own += ids
+        self.fresh.append((segment, own))
+        return self.put(segment, own)
+
+    def put(self, segment: str, ids: list[int]) -> tuple[str, str]:
+        found = self[segment] = " ".join(map(str, ids)), self.vocabulary.decode(ids)
+        return found
+
+
 class Encoder:
-    """Encodes texts, remembering segments: their ids as decimal text, and their decoded text."""
+    """Encodes texts, remembering segments and checking new ones by the library."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.known, self.wrong = vocabulary, {}, set()
+        self.vocabulary, self.known, self.wrong = vocabulary, Known(vocabulary), set()
 
-    def learn(self, segments: set[str]) -> None:
-        new = list(segments)
+    def check(self) -> bool:
+        """Compares what is new with the library; whether anything had to be corrected."""
+        fresh, self.known.fresh = self.known.fresh, []
+        library, before = self.vocabulary.library, len(self.wrong)
         # Behind a line break a segment is encoded as it is inside a text.
-        joins = self.vocabulary.segments.pattern.endswith("\n")
-        checked = self.vocabulary.library.encode(
-            ["\n" + s.replace(SPACE, " ") for s in new], num_threads=1
-        )
-        lead = len(self.vocabulary.library.encode("\n"))
-        for segment, ids in zip(new, checked, strict=True):
-            own = self.vocabulary.merge(segment)
-            if joins and own != ids[lead:]:
-                own = ids[lead:]
-                self.wrong.add(segment)
-            self.known[segment] = (" ".join(map(str, own)), self.vocabulary.decode(own))
+        if self.vocabulary.segments.pattern.endswith("\n"):
+            texts = ["\n" + s.replace(SPACE, " ") for s, _ in fresh]
+            lead = len(library.encode("\n"))
+            for (segment, own), ids in zip(fresh, library.encode(texts, num_threads=1), strict=True):
+                if own != ids[lead:]:
+                    self.known.put(segment, ids[lead:])
+                    self.wrong.add(segment)
+        return len(self.wrong) > before
 
     def __call__(self, texts: pa.Array) -> Iterator[tuple[int, str, str, int]]:
-        split = self.vocabulary.split
+        split, end = self.vocabulary.split, str(self.vocabulary.end)
         for start in range(0, len(texts), 64):
+            if max(len(self.known), len(self.known.merged)) > REMEMBERED:
+                self.known, self.wrong = Known(self.vocabulary), set()
             cut = [split(t or "") for t in texts[start : start + 64].to_pylist()]
-            wanted = set().union(*cut)
-            if missing := wanted - self.known.keys():
-                if len(self.known) + len(missing) > REMEMBERED:
-                    self.known, self.wrong, missing = {}, set(), wanted
-                self.learn(missing)
-            for segments in cut:
-                found = [self.known[s] for s in segments]
-                ids = " ".join([ids for ids, _ in found] + [str(self.vocabulary.end)])
-                decoded = "".join([text for _, text in found])
+            found = [list(map(self.known.__getitem__, segments)) for segments in cut]
+            if self.known.fresh and self.check():
+                found = [list(map(self.known.__getitem__, segments)) for segments in cut]
+            for segments, pairs in zip(cut, found, strict=True):
+                parts, decoded = zip(*pairs, strict=True) if pairs else ((), ())
+                ids = " ".join((*parts, end))
                 wrong = sum(s in self.wrong for s in segments) if self.wrong else 0
-                yield ids.count(" ") + 1, ids, decoded[1:], wrong
+                yield ids.count(" ") + 1, ids, "".join(decoded)[1:], wrong
 
 
 _loaded: dict[str, Encoder] = {}
