@@ -141,21 +141,33 @@ def compare_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     after = written(_successors(rows.select("id")), "spot-next")
     repeated = bool(rows.groupBy("id").count().where("count > 1").limit(1).count())
     following = rows.groupBy("id").agg(F.min("text").alias("text")) if repeated else rows
-    key = lambda c: F.struct(F.col(c).isNull(), F.coalesce(F.col(c).cast("string"), F.lit("")))
-    plain = not rows.where("id is null").limit(1).count()
-    if plain:
-        key = F.col
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
     own = rows.select(
-        key("id").alias("k"), "id", n.alias("n_chars"), half.alias("half"),
+        "id", n.alias("n_chars"), half.alias("half"),
         F.expr("left(text, length(text) - cast(floor(length(text) / 2) as int))").alias("head"),
         signatures(F.col("text")).alias("signed"),
     )
-    own = own.join(after.select(key("id").alias("k"), key("next").alias("next")), "k").drop("k")
-    following = following.select(
-        key("id").alias("next"), "text", signatures(F.col("text")).alias("next_signed")
-    )
-    joined = own.join(following, "next")
+    columns = ["id", "n_chars", "half", "head", "signed", "text"]
+    whole = dict(rows.dtypes)["id"] in ("bigint", "int", "smallint", "tinyint")
+    if whole and not rows.where("id is null").limit(1).count():
+        # Where the id before exists it is the next one, so most texts move once; only behind a
+        # gap the next id has to be looked up.
+        guess = following.select(F.try_add("id", F.lit(1)).alias("id"), "text")
+        guessed = own.join(guess, "id", "left")
+        met = guessed.where(F.col("text").isNotNull()).select(*columns)
+        gaps = written(after.where(~F.col("next").eqNullSafe(F.try_subtract("id", F.lit(1)))), "spot-gaps")
+        rest = guessed.where(F.col("text").isNull()).drop("text").join(gaps, "id")
+        ends = gaps.select("next").distinct()
+        ends = following.join(ends, F.col("id") == F.col("next")).select("next", "text")
+        joined = met.unionByName(rest.join(ends, "next").select(*columns))
+    else:
+        key = lambda c: F.struct(F.col(c).isNull(), F.coalesce(F.col(c).cast("string"), F.lit("")))
+        mapped = own.withColumn("k", key("id")).join(
+            after.select(key("id").alias("k"), key("next").alias("next")), "k"
+        )
+        following = following.select(key("id").alias("next"), "text")
+        joined = mapped.join(following, "next").select(*columns)
+    joined = joined.withColumn("next_signed", signatures(F.col("text")))
     edited = F.concat("head", F.expr("left(text, half)"))
     joined = joined.select("id", "n_chars", "signed", "next_signed", edited.alias("edited"))
     joined = joined.withColumn("edited_signed", signatures(F.col("edited")))
