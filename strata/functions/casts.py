@@ -14,10 +14,17 @@ MONEY_SUM = T.DecimalType(28, 2)
 
 
 def safe_cast(column: Column, to: T.DataType | str, upper: bool = False) -> Column:
-    """Trim text and convert it; what does not parse becomes NULL."""
+    """Trim text and convert it; what does not parse becomes NULL.
+
+    Whole numbers written with decimals ("3.0") are numbers too; decimals are cut off.
+    """
     text = F.trim(column.cast("string"))
     if isinstance(to, T.StringType) or to == "string":
         return F.upper(text) if upper else text
+    if isinstance(to, T.IntegralType) or to in ("int", "integer", "long", "bigint", "short", "smallint"):
+        # Cutting off before the cast keeps 2.7 from becoming 3 and 1e30 from failing.
+        whole = F.when(text.rlike(r"^[+-]?[0-9]+[.][0-9]*$"), F.substring_index(text, ".", 1))
+        return F.coalesce(text.try_cast(to), whole.try_cast(to))
     return text.try_cast(to)
 
 

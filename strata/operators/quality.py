@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.dedup import with_group_size
 from strata.operators.joins import with_exists_flag
@@ -52,7 +53,12 @@ class DataQualityChecker:
 
     def check_positive(self, column: str, check_name: str | None = None):
         """Fails below zero; zero itself is a legal amount."""
-        return self.check(check_name or f"non_positive_{column}", F.col(column) < 0)
+        return self.check(check_name or f"non_positive_{column}", self._number(column) < 0)
+
+    def _number(self, column: str) -> Column:
+        """The column to compare with numbers: malformed text is NULL, never an error."""
+        kind = self.df.schema[column].dataType if column in self.df.columns else None
+        return F.col(column).try_cast("double") if isinstance(kind, T.StringType) else F.col(column)
 
     def check_date_range(
         self,
@@ -62,14 +68,14 @@ class DataQualityChecker:
         check_name: str | None = None,
     ):
         low, high = date.fromisoformat(min_date), date.fromisoformat(max_date)
-        inside = F.col(column).cast("date").between(F.lit(low), F.lit(high))
+        inside = F.col(column).try_cast("date").between(F.lit(low), F.lit(high))
         return self.check(check_name or f"date_range_{column}", ~inside)
 
     def check_range(
         self, column: str, min_value: Any, max_value: Any, check_name: str | None = None
     ):
         """Fails outside the inclusive numeric range."""
-        inside = F.col(column).between(min_value, max_value)
+        inside = self._number(column).between(min_value, max_value)
         return self.check(check_name or f"range_{column}", ~inside)
 
     def check_in_set(

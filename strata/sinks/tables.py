@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,10 +80,14 @@ def recover_table(spark: SparkSession, name: str) -> bool:
     """Finish a replacement that ended between its two catalog steps; is the table there?"""
     if spark.catalog.tableExists(name):
         return True
-    for staged in _staged_versions(spark, name)[:1]:
-        _take_name(spark, staged, name)
-        return True
-    return False
+    staged = _staged_versions(spark, name)
+    if len(staged) > 1:
+        raise RuntimeError(
+            f"{name} is gone and several versions wait for its name; keep one of: {', '.join(staged)}"
+        )
+    for version in staged:
+        _take_name(spark, version, name)
+    return bool(staged)
 
 
 def current_location(spark: SparkSession, name: str) -> str:
@@ -152,8 +158,10 @@ def _merge_partitions(
     """
     spark = source.sparkSession
     merged_rows = f"{target}{MERGED}{uuid.uuid4().hex}"
-    touched = source.select(*partition_by).distinct()
-    affected = spark.table(target).join(touched, list(partition_by), "left_semi")
+    # NULL is a partition of its own: the overwrite replaces it, so it has to be found as well.
+    touched = source.select(*[F.col(c).alias(f"__touched_{c}") for c in partition_by]).distinct()
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__touched_{c}")) for c in partition_by])
+    affected = spark.table(target).join(touched, same, "left_semi")
     merged = _merged(affected, source, checked, keys)
     write_table(merged, merged_rows, "overwrite", fmt, partition_by)
     columns = spark.table(target).columns

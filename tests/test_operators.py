@@ -7,6 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from strata.functions.casts import safe_cast
 from strata.operators.dedup import deduplicate, with_group_size
 from strata.operators.flatten import flatten_payload
 from strata.operators.joins import (
@@ -303,3 +304,11 @@ def test_flatten_keeps_rows_without_claims(spark):
         ("p2", None, None, None), ("p3", None, None, None),
     ]
     assert flatten_payload(df, {"id": "policy_id"}).count() == 3
+
+
+def test_checks_and_casts_of_malformed_text(spark):
+    df = spark.createDataFrame([("3.0", "x"), ("2.7", "-5"), ("1e30", "7"), ("-1.", "2020-13-01")], "a string, b string")
+    whole = [r[0] for r in df.select(safe_cast(F.col("a"), "int")).collect()]
+    assert whole == [3, 2, None, -1]
+    checked = DataQualityChecker(df).check_positive("b").check_range("b", 0, 9).check_date_range("b")
+    assert checked.apply().count() == 4

@@ -14,6 +14,7 @@ from strata.sinks.files import reland_csv, write_csv, write_json_lines, write_xm
 from strata.sinks.tables import (
     create_schemas,
     current_location,
+    recover_table,
     row_counts,
     upsert,
     write_table,
@@ -249,6 +250,22 @@ def test_a_failed_overwrite_leaves_the_table_and_can_be_repeated(spark, schema):
     assert f"{schema}" in current_location(spark, name)
 
 
+def test_upsert_keeps_the_rows_of_the_null_partition(spark, schema):
+    name = f"{schema}.nulls"
+    columns = "id int, part int, v string"
+    first = spark.createDataFrame([(1, 1, "a"), (2, None, "b"), (3, None, "c")], columns)
+    upsert(first, name, ["id", "part"], partition_by=["part"])
+    upsert(spark.createDataFrame([(4, None, "d")], columns), name, ["id", "part"], partition_by=["part"])
+    assert sorted(r.id for r in spark.table(name).collect()) == [1, 2, 3, 4]
+
+
+def test_recovery_does_not_choose_between_versions(spark, schema):
+    for version in ("a", "b"):
+        spark.range(3).write.saveAsTable(f"{schema}.t__staged_{version}")
+    with pytest.raises(RuntimeError, match="several versions"):
+        recover_table(spark, f"{schema}.t")
+
+
 def test_merge_mode_needs_keys(spark, schema):
     with pytest.raises(ValueError, match="merge_keys"):
         write_table(spark.range(1), f"{schema}.t", mode="merge")
