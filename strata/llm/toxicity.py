@@ -45,36 +45,43 @@ class BlockMaxIndex:
     """Unit vectors of examples; the nearest to a query by exact cosine."""
 
     def __init__(self, vectors: list[dict[int, float]], terms: int):
-        self.size = len(vectors)
-        blocks = max(1, -(-self.size // BLOCK))
-        self.bounds = np.zeros((terms, blocks))
-        by_term: list[list[tuple[int, float]]] = [[] for _ in range(terms)]
-        for i, vector in enumerate(vectors):
-            for t, w in vector.items():
-                by_term[t].append((i, w))
-                self.bounds[t, i // BLOCK] = max(self.bounds[t, i // BLOCK], w)
-        self.rows = [np.array([i for i, _ in p], np.int64) for p in by_term]
-        self.weights = [np.array([w for _, w in p]) for p in by_term]
-        self.starts = [np.searchsorted(r, np.arange(blocks + 1) * BLOCK) for r in self.rows]
+        self.vectors, self.terms, self.lists = vectors, terms, None
+        self.blocks = max(1, -(-len(vectors) // BLOCK))
+
+    def __getstate__(self):
+        return self.__dict__ | {"lists": None}  # made anew by each task from the vectors
+
+    def _open(self) -> None:
+        """Each term's weights, block after block, and their maxima."""
+        self.lists = np.zeros((self.terms, self.blocks * BLOCK), np.float32)
+        for i, vector in enumerate(self.vectors):
+            self.lists[list(vector), i] = list(vector.values())
+        self.bounds = self.lists.reshape(self.terms, self.blocks, BLOCK).max(axis=2)
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
         """(cosine, example), nearest first, equals by number; none that shares no term."""
-        terms = list(query)
-        bound = np.array([query[t] for t in terms]) @ self.bounds[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable"):
-            # Sums of floats may pass their bound by a hair.
-            if bound[block] <= 0 or len(best) == k and bound[block] < -best[-1][0] - 1e-9:
+        if self.lists is None:
+            self._open()
+        terms, weights = np.fromiter(query, np.int64), np.fromiter(query.values(), np.float32)
+        bound = weights @ self.bounds[terms]
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        near, scores, least = np.zeros(0, np.int64), np.zeros(0, np.float32), 0.0
+        for begin in range(0, len(order), 16):  # so many blocks at a time
+            chosen = order[begin : begin + 16]
+            if bound[chosen[0]] < least:
                 break
-            scores: dict[int, float] = {}
-            for t in terms:
-                a, b = self.starts[t][block], self.starts[t][block + 1]
-                if a < b:
-                    w = query[t]
-                    for i, x in zip(self.rows[t][a:b].tolist(), self.weights[t][a:b].tolist(), strict=True):
-                        scores[i] = scores.get(i, 0.0) + w * x
-            best = sorted(best + [(-s, i) for i, s in scores.items() if i != without])[:k]
-        return [(-s, i) for s, i in best]
+            rows = (chosen[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            found = weights @ self.lists[terms[:, None], rows]
+            keep = (found > 0) & (found >= least) & (rows != without)
+            near, scores = np.append(near, rows[keep]), np.append(scores, found[keep])
+            if len(scores) >= k:  # single precision, so a little below the last that counts
+                least = float(np.partition(scores, len(scores) - k)[len(scores) - k]) - 1e-5
+        exact = []
+        for i in near[scores >= least].tolist():
+            vector = self.vectors[i]
+            exact.append((-sum(w * vector[t] for t, w in query.items() if t in vector), i))
+        return [(-s, i) for s, i in sorted(exact)[:k]]
 
 
 class Model:
