@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,12 +27,16 @@ def deduplicate(
     order_column: str = INGESTED,
     ascending: bool = False,
     tie_breakers: Sequence[str] | None = None,
+    keep_null_keys: bool = False,
 ) -> DataFrame:
     """One row per key: the first by ``order_column``, ties settled by every other column.
 
     The order is total, so the result does not depend on how rows are partitioned.  Spark
     turns ``row_number() = 1`` into a group limit that also runs *before* the shuffle: each
     map task sends at most one row per key, so a hot key never gathers in one task.
+
+    NULL is a key like any other, unless ``keep_null_keys``: then rows with a NULL in any key
+    column repeat nothing and all stay, without a shuffle (the input is scanned once more).
     """
     if order_column not in df.columns:
         raise ValueError(f"order column {order_column!r} is missing; name one that exists")
@@ -45,7 +51,11 @@ def deduplicate(
     first = first.asc_nulls_first() if ascending else first.desc_nulls_last()
     order = [first, *[F.col(c).asc_nulls_first() for c in tie_breakers]]
     rank = F.row_number().over(Window.partitionBy(*key_columns).orderBy(*order))
-    return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    if not keep_null_keys:
+        return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    keyed = reduce(and_, [F.col(c).isNotNull() for c in key_columns])
+    first_rows = df.filter(keyed).withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
+    return first_rows.unionByName(df.filter(~keyed))
 
 
 def repeated_keys(df: DataFrame, columns: Sequence[str], count_name: str) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.plans import dimensions as dims
 from strata.plans import facts
@@ -114,13 +115,20 @@ def silver_tables(layers: Layers, lines: Sequence[Line] = LINES) -> dict[str, Da
     return layers.existing("silver", [spec.name for spec in silver_specs(tuple(lines))])
 
 
+def keyed_silver(layers: Layers, lines: Sequence[Line] = LINES) -> dict[str, DataFrame]:
+    """The Silver tables as Gold reads them: without the rows that have no key."""
+    keys = {spec.name: spec.key for spec in silver_specs(tuple(lines))}
+    found = silver_tables(layers, lines)
+    return {name: df.filter(F.col(keys[name]).isNotNull()) for name, df in found.items()}
+
+
 def run_dimensions(
     layers: Layers,
     lines: Sequence[Line] = LINES,
     lob_rows: Sequence[tuple] = LINES_OF_BUSINESS,
     coverage_rows: Sequence[tuple] = COVERAGES,
 ) -> None:
-    spark, silver = layers.spark, silver_tables(layers, lines)
+    spark, silver = layers.spark, keyed_silver(layers, lines)
     _write_all(
         layers,
         "gold",
@@ -144,7 +152,7 @@ def run_dimensions(
 
 
 def run_facts(layers: Layers, lines: Sequence[Line] = LINES) -> None:
-    silver = silver_tables(layers, lines)
+    silver = keyed_silver(layers, lines)
     policies = layers.optional("gold", "dim_policy")
     _write_all(
         layers,
@@ -174,7 +182,7 @@ GOLD_INPUTS = (
 def build_mart(layers: Layers, as_of: date, lines: Sequence[Line] = LINES) -> DataFrame | None:
     """The mart over whatever Gold and Silver tables exist."""
     gold = layers.existing("gold", GOLD_INPUTS)
-    return mart_policy_360(gold, silver_tables(layers, lines), as_of, lines)
+    return mart_policy_360(gold, keyed_silver(layers, lines), as_of, lines)
 
 
 def run_pipeline(

@@ -53,13 +53,13 @@ def check_quality(df: DataFrame, spec: TableSpec) -> DataFrame:
 def build_silver(spec: TableSpec, sources: Sequence[DataFrame | None]) -> DataFrame | None:
     """Union the sources, normalise names, type, keep the newest row per key, flag.
 
-    The only shuffle is the one on the key.
+    Rows without a key all stay and are flagged; Gold leaves them out.  The only shuffle is the one on the key.
     """
     named = [standardize_column_names(s) for s in sources if s is not None]
     raw = common_column_union(*named)
     if raw is None:
         return None
-    latest = deduplicate(cast_to_spec(raw, spec), [spec.key])
+    latest = deduplicate(cast_to_spec(raw, spec), [spec.key], keep_null_keys=True)
     flagged = check_quality(latest, spec)
     return flagged.select(*spec.schema.fieldNames())
 

@@ -18,6 +18,8 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.dedup import deduplicate
+
 STAGED = "__staged_"
 MERGED = "__merged_"
 
@@ -102,10 +104,12 @@ def upsert(
     keys: Sequence[str],
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    order_column: str | None = None,
 ) -> None:
     """Update all columns of matching keys, insert the rest; create the table if absent.
 
-    NULL keys match nothing.  A source holding one key twice fails the query and leaves the
+    With ``order_column`` the newest row of a key wins, be it the target's or the source's, so
+    late rows change nothing.  NULL keys match nothing.  A source holding one key twice fails the query and leaves the
     target as it was.  Delta tables use MERGE.  Where the partition columns belong to the
     key, only the partitions the source touches are rewritten.
     """
@@ -114,18 +118,25 @@ def upsert(
     if not recover_table(spark, target):
         write_table(checked, target, "overwrite", fmt, partition_by)
     elif fmt == "delta":
-        _delta_merge(source, target, keys)
+        _delta_merge(source, target, keys, order_column)
     elif partition_by and set(partition_by) <= set(keys):
-        _merge_partitions(source, checked, target, keys, fmt, partition_by)
+        _merge_partitions(source, checked, target, keys, fmt, partition_by, order_column)
     else:
-        merged = _merged(spark.table(target), source, checked, keys)
+        merged = _merged(spark.table(target), source, checked, keys, order_column)
         write_table(merged, target, "overwrite", fmt, partition_by)
 
 
 def _merged(
-    target: DataFrame, source: DataFrame, checked: DataFrame, keys: Sequence[str]
+    target: DataFrame,
+    source: DataFrame,
+    checked: DataFrame,
+    keys: Sequence[str],
+    order_column: str | None,
 ) -> DataFrame:
-    """Target rows without a match, and all source rows."""
+    """Target rows without a match, and all source rows; or of both the newest per key."""
+    if order_column is not None:
+        both = target.unionByName(checked.select(*target.columns))
+        return deduplicate(both, keys, order_column, keep_null_keys=True)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(checked.select(*target.columns))
 
@@ -150,6 +161,7 @@ def _merge_partitions(
     keys: Sequence[str],
     fmt: str,
     partition_by: Sequence[str],
+    order_column: str | None,
 ) -> None:
     """Rewrite only the partitions the source touches.
 
@@ -162,7 +174,7 @@ def _merge_partitions(
     touched = source.select(*[F.col(c).alias(f"__touched_{c}") for c in partition_by]).distinct()
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__touched_{c}")) for c in partition_by])
     affected = spark.table(target).join(touched, same, "left_semi")
-    merged = _merged(affected, source, checked, keys)
+    merged = _merged(affected, source, checked, keys, order_column)
     write_table(merged, merged_rows, "overwrite", fmt, partition_by)
     columns = spark.table(target).columns
     # insertInto takes the overwrite mode from the session only, and another thread may be
@@ -174,13 +186,16 @@ def _merge_partitions(
     spark.sql(f"DROP TABLE {merged_rows}")
 
 
-def _delta_merge(source: DataFrame, target: str, keys: Sequence[str]) -> None:
+def _delta_merge(
+    source: DataFrame, target: str, keys: Sequence[str], order_column: str | None
+) -> None:
     from delta.tables import DeltaTable  # only on clusters that ship Delta
 
     condition = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
     merge = DeltaTable.forName(source.sparkSession, target).alias("t")
     merge = merge.merge(source.alias("s"), condition)
-    merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
+    newer = f"s.`{order_column}` >= t.`{order_column}`" if order_column else None
+    merge.whenMatchedUpdateAll(newer).whenNotMatchedInsertAll().execute()
 
 
 def create_schemas(

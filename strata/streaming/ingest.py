@@ -60,14 +60,18 @@ def upsert_stream(
     order_column: str,
     checkpoint: str,
     fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Merge each micro-batch into a table: newest row per key wins inside the batch.
+    """Merge each micro-batch into a table: the newest row per key wins, whichever batch it is in.
 
-    Replaying a batch gives the same table, so a batch repeated after a crash is harmless.
+    Replaying a batch gives the same table, so a batch repeated after a crash is harmless; only
+    rows without a key are added again, as nothing tells them apart.  With partition columns
+    that belong to the key a batch rewrites only the partitions it touches.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert(deduplicate(batch, keys, order_column), target, keys, fmt)
+        newest = deduplicate(batch, keys, order_column, keep_null_keys=True)
+        upsert(newest, target, keys, fmt, partition_by, order_column)
 
     writer = stream.writeStream.foreachBatch(merge)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

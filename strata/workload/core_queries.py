@@ -38,7 +38,6 @@ from strata.operators.shaping import add_metadata_columns, conform, select_avail
 from strata.plans.dimensions import dim_coverage, dim_date, dim_line_of_business
 from strata.specs.bronze import payload_schema
 from strata.specs.reference import RISK_TIERS, US_STATES
-from strata.sources.generate import apply_recipe
 from strata.workload import oracle
 from strata.workload.raw import PRIORITY, STATE, pad, table
 from strata.workload.registry import query
@@ -214,10 +213,19 @@ def _mixed(salt: int) -> str:
     cast((60000 + {_mixed(21)} % 300001) / 100.0 AS decimal(18,2)) AS premium_amount FROM orders""",
 )
 def column_recipe_table(spark: SparkSession, sf: str) -> DataFrame:
-    ids = table(spark, sf, "orders").select("o_orderkey")
-    return apply_recipe(ids, "auto_policies", {}, id_column="o_orderkey").select(
-        "policy_id", "effective_date", "expiration_date", "vehicle_year", "liability_limit",
-        "premium_amount",
+    """Columns computed from the id alone, so they are the same however rows are partitioned."""
+    mixed = lambda salt: F.expr(_mixed(salt))
+    start = F.date_add(F.lit("2015-01-01").cast("date"), (mixed(1) % 3650).cast("int"))
+    limits = F.array(*[F.lit(n) for n in (25000, 50000, 100000, 250000, 500000)])
+    return table(spark, sf, "orders").select(
+        F.concat(F.lit("AUTO-"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0")).alias("policy_id"),
+        start.alias("effective_date"),
+        F.date_add(start, 180).alias("expiration_date"),
+        (F.lit(2000) + mixed(14) % 25).alias("vehicle_year"),
+        F.get(limits, (mixed(19) % 5).cast("int")).alias("liability_limit"),
+        ((F.lit(60000) + mixed(21) % 300001).cast("decimal(18,2)") / 100)
+        .cast("decimal(18,2)")
+        .alias("premium_amount"),
     )
 
 

@@ -422,10 +422,10 @@ def stream_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     "stream_upsert",
     """SELECT user_id, event_id, event_type, cast(value AS decimal(18,2)) AS value FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id
-    ORDER BY event_type IN ('click', 'view'), ts DESC, event_id) = 1""",
+    ORDER BY ts DESC, event_id) = 1""",
 )
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """Latest event per user; the second wave replaces users it touches."""
+    """Latest event per user; late rows of the second wave change nothing."""
     landing, name = scratch_path(spark, "arrivals"), f"{fresh_schema(spark)}.latest"
     checkpoint = scratch_path(spark, "checkpoint")
     events = _events(spark, sf)

@@ -12,8 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sources.generate import STATES
+from strata.sinks.files import write_csv, write_json_lines
+from strata.sources.manifest import SEMI_STRUCTURED, STRUCTURED
+from strata.specs.reference import US_STATES
 
+STATES = [code for code, _ in US_STATES if code != "DC"]
 PRIORITY = {
     "PROP": "1-URGENT",
     "WC": "2-HIGH",
@@ -365,3 +368,12 @@ def bronze_sql(name: str) -> str:
 
 
 BRONZE_TABLES = (*POLICY_TABLES, *CLAIM_TABLES)
+
+
+def land_files(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """The derived tables as files in the folders and formats of the manifest."""
+    writers = {"csv": write_csv, "json": write_json_lines}
+    for source in (*STRUCTURED, *SEMI_STRUCTURED):
+        if source.table in BRONZE_TABLES:
+            arrived = bronze_frame(spark, sf_dir, source.table).drop("_ingestion_timestamp")
+            writers[source.fmt](arrived, f"{base}/{source.path}")

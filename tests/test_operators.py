@@ -50,6 +50,14 @@ def test_deduplicate_newest_with_null_order_and_ties(spark):
     assert got == {"a": "new", "b": "y", "c": "zero", "d": "only", None: "k2"}
 
 
+def test_deduplicate_can_keep_all_rows_without_a_key(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 2), (None, 1), (None, 1), (None, 3)], "k string, t int"
+    )
+    got = rows(deduplicate(df, ["k"], "t", keep_null_keys=True))
+    assert got == rows(spark.createDataFrame([("a", 2), (None, 1), (None, 1), (None, 3)], "k string, t int"))
+
+
 def test_deduplicate_ascending_takes_null_first(spark):
     df = spark.createDataFrame([("a", None), ("a", "x")], "k string, n string")
     assert deduplicate(df, ["k"], "n", ascending=True).first().n is None

@@ -19,7 +19,6 @@ from strata.sinks.tables import (
     upsert,
     write_table,
 )
-from strata.sources.generate import ROW_COUNTS, generate_table
 from strata.sources.manifest import (
     SEMI_STRUCTURED,
     STRUCTURED,
@@ -294,32 +293,3 @@ def test_file_sinks(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-
-
-# --- generator --------------------------------------------------------------------------
-
-
-def test_generated_tables_do_not_depend_on_partitions(spark):
-    counts = {k: 300 for k in ROW_COUNTS["local"]}
-    for name in counts:
-        df = generate_table(spark, name, counts)
-        assert df.count() == 300
-    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "1")
-    try:
-        one = rows(generate_table(spark, "auto_claims", counts))
-    finally:
-        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
-    assert one == rows(generate_table(spark, "auto_claims", counts))
-
-
-def test_generated_values_stay_in_their_domains(spark):
-    counts = {k: 2000 for k in ROW_COUNTS["local"]}
-    gl = generate_table(spark, "general_liability_claims", counts)
-    assert gl.filter("incurred_amount - paid_amount <> reserve_amount").count() == 0
-    assert gl.select("claim_type").distinct().count() == 5
-    policies = generate_table(spark, "general_liability_policies", counts)
-    assert gl.join(policies, "policy_id", "left_anti").count() == 0
-    low, high = policies.agg(F.min("premium_amount"), F.max("premium_amount")).first()
-    assert low >= Decimal(1000) and high <= Decimal(16000)
-    pairs = policies.groupBy("deductible_amount", "occurrence_limit").count().collect()
-    assert len(pairs) == 16 and min(r["count"] for r in pairs) > 60

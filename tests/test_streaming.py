@@ -37,7 +37,7 @@ def test_upsert_keeps_the_newest_of_a_batch_and_replays_safely(spark, schema):
 
     run(check)
     assert rows(spark.table(name)) == [("a", 2, "new"), ("b", 1, "b")]
-    land(spark, landing, [("b", 5, "later"), ("c", 1, "c")])
+    land(spark, landing, [("a", 1, "late"), ("b", 5, "later"), ("c", 1, "c")])
     run(check)
     expected = [("a", 2, "new"), ("b", 5, "later"), ("c", 1, "c")]
     assert rows(spark.table(name)) == expected
