@@ -22,6 +22,8 @@ def cast_to_spec(raw: DataFrame, spec: TableSpec) -> DataFrame:
     for f in spec.columns.fields:
         if f.name in present:
             value = safe_cast(F.col(f.name), f.dataType, upper=f.name in spec.upper)
+            if f.name == spec.key:
+                value = F.nullif(value, F.lit(""))  # a blank key is no key
         else:
             value = typed_null(f.dataType)
         columns.append(value.alias(f.name))
