@@ -215,8 +215,11 @@ def similar_components(
     lead = classes.select("c", "n", "lead")
 
     def bounded(pairs: DataFrame) -> DataFrame:
-        of = lambda side: lead.toDF(side, f"n_{side}", f"lead_{side}")
-        full = pairs.join(of("a"), "a").join(of("b"), "b")
+        # Both sides, and the blocks below, read the leading n-grams in one form: one shuffle.
+        full = pairs.alias("p").join(lead.alias("x"), F.col("p.a") == F.col("x.c"))
+        full = full.join(lead.alias("y"), F.col("p.b") == F.col("y.c")).selectExpr(
+            "a", "b", "x.n AS n_a", "x.lead AS lead_a", "y.n AS n_b", "y.lead AS lead_b"
+        )
         needed = F.ceil(F.lit(num) * (F.col("n_a") + F.col("n_b")) / F.lit(num + den))
         end = F.least(F.element_at("lead_a", -1), F.element_at("lead_b", -1))
         upto = lambda x: F.size(F.filter(x, lambda i: i <= F.col("end")))
@@ -244,7 +247,8 @@ def similar_components(
         union = F.size("ids_a") + F.size("ids_b") - F.col("both")
         return full.withColumn("both", both).where(F.col("both") * den >= union * num).select("a", "b")
 
-    hub = F.max(F.struct("degree", "c", "root")).alias("hub")
+    sizes_alike = lambda a, b: F.least(a, b) * den >= F.greatest(a, b) * num
+    hub = F.max(F.struct("degree", "c", "root", "n")).alias("hub")
     placed, links = postings, None
     for turn in range(STAR_TURNS):
         hubs = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub)
@@ -253,13 +257,12 @@ def similar_components(
             hubs = placed.join(hubs.withColumnRenamed("hub", "met"), "s").where("root != met.root")
             hubs = hubs.groupBy("s").agg(hub)
         stars = placed.join(hubs, "s").where("root != hub.root")
-        stars = stars.select(F.least("c", "hub.c").alias("a"), F.greatest("c", "hub.c").alias("b"))
-        new = checked(bounded(stars.distinct()))
+        stars = stars.where(sizes_alike("n", F.col("hub.n"))).select(F.least("c", "hub.c").alias("a"), F.greatest("c", "hub.c").alias("b"))
+        new = checked(bounded(written(stars.distinct(), "join-stars")))
         links = written(new if links is None else links.unionByName(new), "join-links")
         roots = components(links).withColumnRenamed("node", "c")
         placed = placed.drop("root").join(roots, "c", "left")
         placed = written(placed.withColumn("root", F.coalesce("root", "c")), "join-placed")
-    alike = F.least("n", "n_b") * den >= F.greatest("n", "n_b") * num
     mixed = (
         placed.groupBy("s")
         .agg(F.count("*").alias("many"), F.min("root").alias("low"), F.max("root").alias("high"))
@@ -270,7 +273,7 @@ def similar_components(
     pairs = few.select("s", F.col("c").alias("a"), "n", "root").join(
         few.select("s", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b")), "s"
     )
-    pairs = pairs.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & alike)
+    pairs = pairs.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & sizes_alike("n", "n_b"))
     pairs = bounded(pairs.select("a", "b").distinct())
     mixed = mixed.where(F.col("many") > FEW)
     blocks = F.ceil(F.col("many") / F.lit(float(BLOCK_ROWS)))
@@ -278,9 +281,9 @@ def similar_components(
     left = placed.join(mixed.withColumn("blocks", blocks), "s").withColumn("block", block)
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     left = left.select(
-        "s", "c", "n", "root",
+        "s", "c", "root",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-    ).join(lead.select("c", "lead"), "c")
+    ).join(lead, "c")
 
     def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
