@@ -23,26 +23,32 @@ COMMON_WORDS = (
 ).split()
 
 
+def _one_of(words: set[str]) -> str:
+    """Pattern of any of the words, by first letter so that few alternatives are tried."""
+    initials = sorted({w[0] for w in words})
+    endings = ("|".join(sorted(w[1:] for w in words if w[0] == c)) for c in initials)
+    return "|".join(f"{c}(?:{e})" for c, e in zip(initials, endings, strict=True))
+
+
 def signatures(text: Column, common: list[str] | None = None) -> Column:
     """Sorted distinct hashes of the text's signatures.
 
     A text without any has one for its words as a whole, a text without words one for its
     characters, and an empty text none.
     """
-    words = "|".join(sorted(set(common or COMMON_WORDS)))
+    words = _one_of(set(common or COMMON_WORDS))
     plain = F.concat(
         F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" ")
     )
     run, skipped, content = f"((?:(?:{words}) )++)", f"(?:(?:{words}) )*+", "([^ ]+) "
     marked = F.regexp_replace(plain, f"(?<![^ ]){run}{content}(?={skipped}{content})", "\n$1$2 $3\n")
-    parts = F.split(marked, "\n")
-    spots = F.filter(parts, lambda _, i: i % 2 == 1)
+    spots = F.filter(F.split(marked, "\n"), lambda _, i: i % 2 == 1)
     hashed = F.array_sort(F.array_distinct(F.transform(spots, lambda s: F.hash(s))))
     whole = F.array(F.hash(F.lit("whole"), F.when(plain != " ", plain).otherwise(text)))
     none = F.expr("cast(array() as array<int>)")
-    return (
-        F.when(text.isNull() | (text == ""), none).when(F.size(parts) > 1, hashed).otherwise(whole)
-    )
+    # A lambda's argument is evaluated once, a column that is named twice in a CASE is not.
+    found = F.transform(F.array(hashed), lambda h: F.when(F.size(h) > 0, h).otherwise(whole))
+    return F.when(text.isNull() | (text == ""), none).otherwise(F.element_at(found, 1))
 
 
 def likeness(a: Column, b: Column) -> Column:
