@@ -271,6 +271,38 @@ def test_ppm_spells_a_distribution():
     assert trie.cost([b"the"])[0] > trie.cost([b"thx"])[0] > trie.cost([b"zzz"])[0]
 
 
+def test_ppm_equals_brute_force_over_the_bytes(spark, docs, texts):
+    import zlib
+
+    swapped = {**texts, 60: "the other one is there", 61: "there is one other the"}
+    rows = docs_of(spark, swapped).repartition(3)
+    data = {i: b"\xff" * 5 + (t or "").encode() + b"\xff" for i, t in swapped.items()}
+    followers: dict[bytes, Counter[int]] = {}
+    for i, d in data.items():
+        if zlib.crc32(str(i).encode()) % 10:
+            for p in range(5, len(d)):
+                for order in range(6):
+                    followers.setdefault(d[p - order : p], Counter())[d[p]] += 1
+
+    def cost(context: bytes, symbol: int) -> float:
+        gone, found = set(), 0.0
+        for order in range(5, -1, -1):
+            here = followers.get(context[5 - order :], {})
+            left = {s: n for s, n in here.items() if s not in gone}
+            mass = sum(left.values()) + len(left)
+            if symbol in left:
+                return found + math.log10(left[symbol] / mass)
+            found += math.log10(len(left) / mass) if left else 0
+            gone = set(here) or gone
+        return found - math.log10(256 - len(gone))
+
+    expected = {i: sum(cost(d[p - 5 : p], d[p]) for p in range(5, len(d))) for i, d in data.items()}
+    for limits in ({}, {"hot_words": 4, "max_cells": 50}):
+        found = {r.doc_id: r.score for r in ppm.score(rows, **limits).collect()}
+        assert found == pytest.approx(expected)
+    assert found[60] != pytest.approx(found[61])
+
+
 def test_mixing_meets_targets(spark, docs, awkward, texts):
     rows = mixing.mix(awkward).collect()
     assert len(rows) == awkward.count()
