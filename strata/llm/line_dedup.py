@@ -1,10 +1,13 @@
 """Line dedup by pairwise alignment.
 
-Lines are hashed, and a document's shared lines name its partners: for each of them the first
-document that holds it.  That is one partner for a rare line as for a frequent one, so frequent
-lines need no cap and no group of documents is paired with itself.  Each pair is aligned by
-patience diff on the line hashes, whose anchors are the lines that each of the two holds once, and
-blocks of aligned neighbouring lines that are long enough are deleted from the later document.
+Two documents can share a block only if they share one of its windows, the fewest neighbouring
+lines of enough words from or up to a line; windows and whole documents are hashed.  A
+document's shared windows name its partners: for each of them the first document that holds it.
+Each pair is aligned by patience diff on the line hashes, whose anchors are the lines that each of
+the two holds once, and blocks of aligned neighbouring lines that are long enough are deleted from
+the later document.  Where a window's lines are left, because the first holder repeats or moves
+them, the next holders become partners, four times as many in each round, until the lines are
+deleted or every earlier holder was tried: the result is that of aligning all pairs.
 """
 
 from __future__ import annotations
@@ -12,12 +15,16 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD, written
 
+#: Base of the windows' hashes.
+ODD = 0x9E3779B97F4A7C15
+
 
 def patience(a: list[int], b: list[int], low_a=0, high_a=None, low_b=0, high_b=None) -> list[tuple[int, int]]:
     """Aligned positions of two sequences: common ends, then lines unique in both, recursively."""
@@ -87,6 +94,34 @@ def common_blocks(own: list[int], other: list[int], words: list[int], least: int
     return deleted
 
 
+def windows_of(hashes: np.ndarray, words: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """(document, low, high, hash, document's hash) of the windows of documents behind one another."""
+    total = len(hashes)
+    begins = np.cumsum(sizes) - sizes
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    power, back = np.full((2, total + 1), 1, np.uint64)
+    power[1:], back[1:] = ODD, pow(ODD, -1, 1 << 64)
+    power, back = np.cumprod(power), np.cumprod(back)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes.astype(np.uint64) * power[:-1], dtype=np.uint64)])
+    value = lambda low, high: (sums[high] - sums[low]) * back[low]
+    seen = np.concatenate([[0], np.cumsum(words)])
+    line = np.arange(total)
+    onward = np.searchsorted(seen, seen[:-1] + least)
+    upward = np.searchsorted(seen, seen[1:] - least, "right") - 1
+    ahead = onward <= (begins + sizes)[doc]
+    behind = upward >= begins[doc]
+    enough = np.flatnonzero((seen[begins + sizes] - seen[begins] >= least) & (sizes > 0))
+    low = np.concatenate([line[ahead], upward[behind], begins[enough]])
+    high = np.concatenate([onward[ahead], line[behind] + 1, (begins + sizes)[enough]])
+    own = value(begins, begins + sizes)
+    owner = doc[low]
+    # Copies must meet as such, so a whole document has a hash apart from that of a window.
+    hashed = value(low, high)
+    hashed[len(low) - len(enough) :] ^= np.uint64(0x5555555555555555)
+    signed = lambda x: x.view(np.int64)
+    return owner, low - begins[owner], high - begins[owner], signed(hashed), signed(own)[owner]
+
+
 def aligned_lines(
     docs: DataFrame,
     *,
@@ -104,7 +139,7 @@ def aligned_lines(
     """
     body = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(body, "\n")
-    keyed = docs.withColumn("__sha", F.sha2(body, 256))
+    keyed = docs.withColumn("__sha", F.unhex(F.sha2(body, 256)))
     narrow = keyed.select(
         F.col(id_col).alias("id"),
         "__sha",
@@ -113,24 +148,32 @@ def aligned_lines(
     ).dropDuplicates(["id", "__sha"])
     heads = written(narrow, "line-heads")
     order = F.struct(F.col("id").isNull().alias("n"), "id", "__sha")
-    entries = (
-        heads.select(order.alias("key"), F.explode(F.arrays_zip("h", "w")).alias("line"))
-        .where("line.w > 0")
-        .select("key", F.col("line.h").alias("h"))
-        .distinct()
+    of = heads.select(order.alias("key"), "h", "w")
+    kind = of.schema["key"].dataType.simpleString()
+
+    def windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, w = batch.column(1), batch.column(2)
+            sizes = np.diff(h.offsets.to_numpy()).astype(np.int64)
+            owner, *columns = windows_of(h.flatten().to_numpy(), w.flatten().to_numpy(), sizes, min_words)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner)), *map(pa.array, columns)],
+                names=["key", "low", "high", "s", "whole"],
+            )
+
+    windows = written(
+        of.mapInArrow(windowed, f"key {kind}, low long, high long, s long, whole long"), "line-windows"
     )
     shared = (
-        entries.groupBy("h")
-        .agg(F.count("*").alias("df"), F.min("key").alias("first"))
-        .where("df > 1")
-    )
-    named = entries.join(shared, "h").where(F.col("first") != F.col("key"))
-    partners = named.select("key", "first").distinct()
-    of = heads.select(order.alias("key"), "h", "w")
-    pairs = (
-        partners.join(of, "key")
-        .join(of.select(F.col("key").alias("first"), F.col("h").alias("other")), "first")
+        windows.groupBy("s")
+        .agg(F.min("key").alias("first"), F.max("key").alias("last"))
+        .where("first != last")
+        .select("s", "first")
     )
+    left = windows.drop("whole").join(shared, "s").where(F.col("first") != F.col("key"))
+    left = written(left.distinct(), "line-shared")
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,18 +183,44 @@ def aligned_lines(
                 [batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["key", "gone"]
             )
 
-    kind = heads.select(order.alias("key")).schema["key"].dataType.simpleString()
-    gone = (
-        pairs.select("key", "h", "other", "w")
-        .mapInArrow(aligned, f"key {kind}, gone array<int>")
-        .where(F.size("gone") > 0)
-        .groupBy(F.col("key.id").alias("__id"), F.col("key.__sha").alias("__gone_sha"))
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("__deleted"))
+    def gone_by(pairs: DataFrame) -> DataFrame:
+        """Lines that documents lose by their partners (``key, other``)."""
+        texts = pairs.join(of, "key").join(of.select(F.col("key").alias("other"), F.col("h").alias("theirs")), "other")
+        found = texts.select("key", "h", "theirs", "w").mapInArrow(aligned, f"key {kind}, gone array<int>")
+        return merged(found.where(F.size("gone") > 0))
+
+    def merged(found: DataFrame) -> DataFrame:
+        every = F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone"))))
+        return found.groupBy("key").agg(every.alias("gone"))
+
+    gone = written(gone_by(left.select("key", F.col("first").alias("other")).distinct()), "line-gone")
+    left = left.drop("first")
+    holders, low, high = None, 1, 5
+    while True:
+        stays = F.col("gone").isNull() | F.expr(
+            "exists(sequence(low, high - 1), x -> NOT array_contains(gone, cast(x AS int)))"
+        )
+        left = written(left.join(gone, "key", "left").where(stays).drop("gone"), "line-left")
+        if holders is None:
+            # Of equal documents the first is a partner for all of them.
+            each = windows.join(left.select("s").distinct(), "s", "left_semi")
+            each = each.groupBy("s", "whole").agg(F.min("key").alias("other"))
+            rank = F.row_number().over(Window.partitionBy("s").orderBy("other")) - 1
+            holders = written(each.select("s", "other", rank.alias("rank")), "line-holders")
+        tried = holders.where((F.col("rank") >= low) & (F.col("rank") < high))
+        pairs = left.select("key", "s").distinct().join(tried, "s").where(F.col("other") < F.col("key"))
+        pairs = written(pairs.select("key", "other").distinct(), "line-pairs")
+        if not pairs.limit(1).count():
+            break
+        gone = written(merged(gone.unionByName(gone_by(pairs))), "line-gone")
+        low, high = high, high + 4 * (high - low)
+    gone = gone.select(
+        F.col("key.id").alias("__id"), F.col("key.__sha").alias("__gone_sha"), F.col("gone").alias("__deleted")
     )
     same = F.col(f"a.{id_col}").eqNullSafe(F.col("b.__id")) & (F.col("a.__sha") == F.col("b.__gone_sha"))
     return (
         keyed.alias("a")
-        .join(written(gone, "line-gone").alias("b"), same, "left")
+        .join(gone.alias("b"), same, "left")
         .select(*[f"a.`{c}`" for c in docs.columns], "b.__deleted", F.size(lines).alias("__lines"))
     )
 

@@ -206,6 +206,30 @@ def test_line_dedup(docs, awkward, texts):
     assert line_dedup.aligned_lines(awkward).count() == awkward.count()
 
 
+def test_line_dedup_equals_all_pairs(spark):
+    rng = random.Random(3)
+    passage = "one passage that many later documents hold once"
+    rows = {
+        0: f"{passage}\nsome other line of six words\n{passage}",  # repeats it: no anchor
+        1: f"a b\n{passage}\nc d",
+        2: f"e f\n{passage}\ng h",
+        3: "first small\nalone", 4: "apart\nsecond small", 5: "third small\nhere",
+        6: "x\nfirst small\nsecond small\nthird small\ny", 7: "z\nfirst small\nsecond small\nthird small\nv",
+    }
+    pool = [f"line {i} of six words {i}" for i in range(6)] + ["a b c", "d e f", "g", "", "  "]
+    for i in range(8, 60):
+        rows[i] = "\n".join(rng.choices(pool, k=rng.randint(1, 9)))
+    lines = {i: [x.strip() for x in t.split("\n")] for i, t in rows.items()}
+    expected = {}
+    for i in rows:
+        words = [len(x.split()) for x in lines[i]]
+        every = [line_dedup.common_blocks(lines[i], lines[j], words, 6) for j in range(i)]
+        expected[i] = sorted({k for gone in every for k in gone})
+    found = line_dedup.aligned_lines(docs_of(spark, rows).repartition(3)).collect()
+    assert {r.doc_id: r["__deleted"] or [] for r in found} == expected
+    assert expected[2] == [1] and expected[7] == [1, 2, 3]
+
+
 def test_patience_aligns_moved_and_repeated_lines():
     a, b = [1, 2, 3, 9, 4, 5, 9], [7, 2, 3, 4, 9, 5, 8]
     pairs = line_dedup.patience(a, b)
