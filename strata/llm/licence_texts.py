@@ -1,4 +1,16 @@
-"""Texts of public licences, notices that name one, and equivalent spellings."""
+"""Texts of public licences, notices that name one, and equivalent spellings.
+
+Long texts lie unchanged in the folder ``known_texts``, one file a licence.
+"""
+
+from __future__ import annotations
+
+import os
+
+#: The long texts: <licence>.txt or <licence>#<variant>.txt.
+FOLDER = os.path.join(os.path.dirname(os.path.abspath(__file__)), "known_texts")
+#: Behind it stand only hints for those who use the licence, which copies often leave out.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 
 #: Spellings that count as one word (left side becomes the right side).
 EQUIVALENT_WORDS = {
@@ -96,6 +108,78 @@ or implied. See the License for the specific language governing permissions and
 under the License.
 """
 
+#: Headings that stand above the short texts.
+_HEADINGS = {
+    "MIT": ["The MIT License (MIT)", "MIT License (MIT)", "The MIT License (Expat)"],
+    "ISC": ["The ISC License", "ISC License (ISC)", "The ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'
+    ],
+}
+
+_VERBS = [
+    "Licensed under", "Released under", "Distributed under", "Available under", "Published under",
+    *(
+        f"This {what} is {how} under"
+        for what in ("work", "software", "project", "file", "code")
+        for how in ("licensed", "released", "distributed")
+    ),
+]
+
+#: Licence -> how notices name it; without a version only the family is known.
+_NAMES = {
+    "MIT": ["the MIT License"],
+    "ISC": ["the ISC License"],
+    "BSD-2-Clause": ["the BSD 2-Clause License"],
+    "BSD-3-Clause": ["the BSD 3-Clause License"],
+    "Apache": ["the Apache License"],
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License"],
+    "CC0-1.0": ["CC0 1.0", "the CC0 1.0 Universal license"],
+    "Unlicense": ["the Unlicense"],
+    **{
+        f"MPL-{v}": [f"the Mozilla Public License, version {v}", f"the Mozilla Public License {v}", f"the MPL {v}"]
+        for v in ("1.1", "2.0")
+    },
+    **{
+        f"{short}-{v}": [
+            f"the GNU {name}, version {v.removesuffix('.0')}",
+            f"the GNU {name} version {v.removesuffix('.0')}",
+            f"the GNU {name} v{v.removesuffix('.0')}",
+            f"the GNU {name} v{v}",
+            f"the GNU {short} v{v.removesuffix('.0')}",
+            f"the {short} v{v.removesuffix('.0')}",
+            f"the GNU {name}, version {v}",
+        ]
+        for short, name, versions in (
+            ("GPL", "General Public License", ("1.0", "2.0", "3.0")),
+            ("LGPL", "Lesser General Public License", ("2.1", "3.0")),
+            ("AGPL", "Affero General Public License", ("3.0",)),
+        )
+        for v in versions
+    },
+    **{f"CC-{k}-{v}": [f"CC {k} {v}", f"a CC {k} {v} license"] for k in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")},
+}
+
+
+def texts_in(folder: str) -> dict[str, str]:
+    """The texts of ``folder``, whole and up to the end of their terms, as ``KNOWN_TEXTS`` has them."""
+    found = {}
+    for file in sorted(os.listdir(folder)):
+        if not file.endswith(".txt"):
+            continue
+        with open(os.path.join(folder, file), encoding="utf-8") as f:
+            text = f.read()
+        name = file.removesuffix(".txt")
+        name = name if "#" in name else f"{name}#whole"
+        found[name] = text
+        if END_OF_TERMS in text:
+            terms = text.split(END_OF_TERMS)[0]
+            found[f"{name}_terms"], found[f"{name}_terms_end"] = terms, terms + END_OF_TERMS
+    return found
+
+
 #: Licence (before any #) -> a text that stands for it as a whole.
 KNOWN_TEXTS = {
     "MIT": _MIT_BODY,
@@ -118,3 +202,14 @@ KNOWN_TEXTS = {
     "BSD-3-Clause#spdx": "SPDX-License-Identifier: BSD-3-Clause",
     "GPL-3.0#spdx": "SPDX-License-Identifier: GPL-3.0-only",
 }
+for _licence, _headings in _HEADINGS.items():
+    for _i, _heading in enumerate(["", *_headings]):
+        # Some holders reserve all rights on a line of its own.
+        for _j, _rights in enumerate(["", "All rights reserved.\n"]):
+            if _heading or _rights:
+                KNOWN_TEXTS[f"{_licence}#headed{_i}{_j}"] = f"{_heading}\n{_rights}" + KNOWN_TEXTS[_licence]
+for _licence, _names in _NAMES.items():
+    for _i, _name in enumerate(_names):
+        for _j, _verb in enumerate(_VERBS):
+            KNOWN_TEXTS[f"{_licence}#named{_i}_{_j}"] = f"{_verb} {_name}."
+KNOWN_TEXTS.update(texts_in(FOLDER))

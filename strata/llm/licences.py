@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import ascii_lower
-from strata.llm.licence_texts import EQUIVALENT_WORDS, KNOWN_TEXTS
+from strata.llm.licence_texts import EQUIVALENT_WORDS, KNOWN_TEXTS, texts_in
 
 #: A line that only names the holder of the rights.
 COPYRIGHT_LINE = r"(^|\n)[ \t/*#;-]*copyright[ \t]*(\(c\)|©|[0-9]{4}|<|\[)[^\n]*"
@@ -45,15 +45,19 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
     texts: dict[str, str] | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """One row for each row of ``docs``: the id, ``digest, licence, line_licences``.
 
     ``licence`` is that of the whole text or NULL; ``line_licences`` the sorted distinct licences
     of single lines, joined by a comma, empty if there is none.  NULL texts count as empty, and
     an empty canonical text never matches.  Repeated rows are looked up each on its own; NULL ids
-    are kept; an empty table gives an empty result.
+    are kept; an empty table gives an empty result.  Known are ``texts``, or else those that ship;
+    those of ``folder`` (``<licence>.txt``, read by the driver) come on top.
     """
-    known = {} if texts == {} else (texts or KNOWN_TEXTS)
+    known = KNOWN_TEXTS if texts is None else texts
+    if folder is not None:
+        known = known | texts_in(folder)
     spark = docs.sparkSession
     digests = known_digests(spark, known) if known else spark.createDataFrame(
         [], "licence string, digest string"

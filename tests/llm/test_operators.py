@@ -372,6 +372,27 @@ def test_licences(docs, spark):
     assert licences.scan(docs).count() == docs.count()
 
 
+def test_licences_of_whole_texts_headings_and_notices(spark, tmp_path):
+    from strata.llm.licence_texts import FOLDER
+
+    with open(f"{FOLDER}/Apache-2.0.txt") as f:
+        apache = f.read()
+    with open(f"{FOLDER}/GPL-2.0.txt") as f:
+        gpl = f.read()
+    (tmp_path / "House-1.0.txt").write_text("Use it in our house.")
+    mit = licences.KNOWN_TEXTS["MIT"]
+    rows = {
+        1: apache, 2: apache.split("APPENDIX:")[0], 3: gpl,
+        4: "The MIT License (MIT)\n\nCopyright (c) 2020 A\n" + mit,
+        5: "licensed under the GNU General Public License, version 2",
+        6: "Released under the Apache License", 7: "use it in OUR house",
+    }
+    found = {r.doc_id: r.licence for r in licences.scan(docs_of(spark, rows), folder=str(tmp_path)).collect()}
+    assert found == {
+        1: "Apache-2.0", 2: "Apache-2.0", 3: "GPL-2.0", 4: "MIT", 5: "GPL-2.0", 6: "Apache", 7: "House-1.0"
+    }
+
+
 def test_forest_recall_and_awkward_vectors(spark):
     rng = np.random.default_rng(3)
     data = rng.standard_normal((1500, 32))
