@@ -116,9 +116,9 @@ def search(
     """The k nearest found for each query: ``query_id, rank, <id>, score`` (exact cosine).
 
     The trees ascend until they hold, counted tree by tree, at least ``share`` of the shard's
-    rows each on average (and 50 k in all).  Vectors that are NULL, zero, of another length
-    than the first kept one of their pair of shard and block, or hold NULL or non-finite
-    components take no part, nor do rows without an id.  A row is never its own neighbour; rows
+    rows each on average (and 50 k in all).  Vectors of each length are searched among their
+    own.  Vectors that are NULL, zero, or hold NULL or non-finite components take no part, nor do
+    rows without an id, nor those whose squared length leaves the range of a double.  A row is never its own neighbour; rows
     that repeat an id count once (the smallest vector); equal scores go to the smaller id; an
     empty table gives an empty result, and fewer than k candidates give fewer rows.
     """
@@ -141,30 +141,17 @@ def search(
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = rows.withColumn("shard", shard).withColumn("block", every(blocks))
-    asked = asked.withColumn("block", block).withColumn("shard", every(shards))
+    rows = rows.withColumn("shard", shard).withColumn("block", every(blocks)).withColumn("length", F.size("vector"))
+    asked = asked.withColumn("block", block).withColumn("shard", every(shards)).withColumn("length", F.size("vector"))
 
     def unpacked(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         lists = t.column("vector").combine_chunks()
-        lengths = np.diff(lists.offsets.to_numpy())
-        return (
-            t.column("id").to_numpy(),
-            lists.flatten().to_numpy(),
-            lengths,
-        )
-
-    def of_length(ids, values, lengths, wanted):
-        keep = lengths == wanted
-        return ids[keep], values[np.repeat(keep, lengths)].reshape(-1, wanted)
+        return t.column("id").to_numpy(), lists.flatten().to_numpy().reshape(t.num_rows, -1)
 
     def pair(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows and right.num_rows:
-            a, b = unpacked(left), unpacked(right)
-            wanted = a[2][np.argmin(a[0])]
-            row, query = of_length(*a, wanted), of_length(*b, wanted)
-            if len(query[0]):
-                out = list(_nearest(row, query, k, trees, share, seed))
+            out = list(_nearest(unpacked(left), unpacked(right), k, trees, share, seed))
         return pa.table(
             {
                 "query_id": pa.array([x[0] for x in out], pa.int64()),
@@ -174,8 +161,8 @@ def search(
         )
 
     found = (
-        rows.groupBy("shard", "block")
-        .cogroup(asked.groupBy("shard", "block"))
+        rows.groupBy("shard", "block", "length")
+        .cogroup(asked.groupBy("shard", "block", "length"))
         .applyInArrow(pair, "query_id long, id long, score double")
     )
     rank = F.row_number().over(

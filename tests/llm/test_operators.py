@@ -415,6 +415,15 @@ def test_forest_recall_and_awkward_vectors(spark):
     assert next(r.vec_id for r in found if r.query_id == 0 and r.rank == 1) == 1
 
 
+def test_forest_searches_every_length(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(2 + i % 3)]) for i in range(60)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann_forest.search(vectors, vectors, k=3).collect()
+    assert Counter(r.query_id for r in found) == {i: 3 for i in range(60)}
+    assert all(r.query_id % 3 == r.vec_id % 3 for r in found)
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     texts = {i: prose(i, 80) + (" idiot scum" if i % 5 == 0 else "") for i in range(400)}
