@@ -295,6 +295,12 @@ def test_ppm_spells_a_distribution():
     assert trie.cost([b"the"])[0] > trie.cost([b"thx"])[0] > trie.cost([b"zzz"])[0]
 
 
+def test_ppm_scores_the_order_of_words(spark):
+    rows = {i: "one two three four five six" for i in range(30)} | {100: "six five four three two one"}
+    found = {r.doc_id: r.score for r in ppm.score(docs_of(spark, rows)).collect()}
+    assert found[100] < found[1] - 5
+
+
 def test_ppm_equals_brute_force_over_the_bytes(spark, docs, texts):
     import zlib
 
