@@ -29,8 +29,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left: ``doc_id, n_tokens, ids, n_corrected``."""
-    return sentencepiece_bpe.encode(docs, sentencepiece_bpe.default_model(spark)).drop("decoded")
+    """Of every document left, ids and their text: ``doc_id, n_tokens, ids, decoded, n_corrected``."""
+    return sentencepiece_bpe.encode(docs, sentencepiece_bpe.default_model(spark))
 
 
 STAGES = [

@@ -472,3 +472,10 @@ def test_pipeline_stages(spark):
         assert docs.count() > 0
     last = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
     assert last.where(F.size("ids") != F.col("n_tokens")).count() == 0
+
+
+def test_pipeline_keeps_the_decoded_texts(spark):
+    import corpus_pipeline
+
+    found = corpus_pipeline.encode_texts(spark, docs_of(spark, {1: "some text", 2: ""}), "").collect()
+    assert {r.doc_id: r.decoded for r in found} == {1: "some text", 2: ""}
