@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strata.llm import ann_forest, licences, line_dedup, mixing, ngram_join, ppm, sentencepiece_bpe, spotsigs, suffix_dedup, toxicity
+from strata.llm import (
+    ann_forest, centroids, filter_audit, licences, line_dedup, mixing, ngram_join, ppm,
+    sentencepiece_bpe, spotsigs, suffix_dedup, toxicity, url_filter,
+)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +104,25 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn(
         "held_out", F.coalesce(remainder == 2, F.lit(False))
     )
+
+
+@query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_table(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), model)
+
+
+@query
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_centroids"] = centroids.duckdb_twin("embeddings")
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = filter_audit.duckdb_twin("documents", "labels")
