@@ -18,7 +18,7 @@ joins; results do not depend on either.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +32,9 @@ ORDER = 5
 #: Stands before and behind a text.
 MARK = b"\xff"
 #: Bytes of text that are turned into grams at once, and grams a task remembers.
-PIECE, GRAMS = 1 << 20, 1 << 22
-#: A word is spelt behind a space and ends with one.
-SPACE = 0x20
-SLOT_BITS = 20
-REMEMBERED = 400_000
+PIECE, GRAMS = 1 << 20, 1 << 20
+#: Distinct words a task counts before it hands them on.
+REMEMBERED = 200_000
 
 
 def hash_of(word: bytes) -> int:
@@ -47,109 +45,7 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def _positions(words: list[bytes]):
-    """Symbols to code, of all words behind one another: their values, places and word starts."""
-    flat = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
-    spaces = np.flatnonzero(flat == SPACE)
-    starts = spaces[:-1]
-    place = np.arange(1, len(flat))
-    word = np.repeat(np.arange(len(words)), np.diff(spaces))
-    return flat, place, word, place - starts[word]  # the last: bytes of context there are
-
-
-def _slots(flat: np.ndarray, place: np.ndarray, order: int, bits: int) -> np.ndarray:
-    """Slot of the ``order`` bytes before each place."""
-    if order <= 2:
-        slot = np.zeros(len(place), np.int64)
-        for back in range(1, order + 1):
-            slot |= flat[place - back].astype(np.int64) << (8 * (back - 1))
-        return slot
-    h = np.full(len(place), order, np.uint64)
-    for back in range(1, order + 1):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + flat[place - back].astype(np.uint64) + np.uint64(1)
-    h ^= h >> np.uint64(31)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return ((h >> np.uint64(64 - SLOT_BITS)) >> np.uint64(SLOT_BITS - bits)).astype(np.int64)
-
-
-def trie_cells(words: list[bytes], counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, ...]]:
-    """(order, cell = slot * 256 + symbol, parent's slot, count) of each order."""
-    flat, place, word, room = _positions(words)
-    weight = counts[word]
-    for order in range(ORDER + 1):
-        here = room >= order
-        at = place[here]
-        cell = (_slots(flat, at, order, SLOT_BITS) << 8) | flat[at]
-        parent = _slots(flat, at, max(order - 1, 0), SLOT_BITS)
-        distinct, first, inverse = np.unique(cell, return_index=True, return_inverse=True)
-        total = np.bincount(inverse.ravel(), weight[here], len(distinct)).astype(np.int64)
-        yield order, distinct, parent[first], total
-
-
-class Trie:
-    """Spells single words from hashed slots, without a Spark job; ``score`` does not use it."""
-
-    def __init__(self, cells: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]):
-        """cells: (slot bits, cell, parent's slot, count) of each order, cells ascending."""
-        self.levels, above = [], None
-        for order, (bits, cell, parent, count) in enumerate(cells):
-            slots = 256**order if order <= 2 else 1 << bits
-            slot = cell >> 8
-            total = np.bincount(slot, count, slots).astype(np.float32)
-            followers = np.bincount(slot, minlength=slots).astype(np.float32)
-            excluded = None
-            if above is not None:  # what this context's followers count in the shorter one
-                wide = (parent << 8) | (cell & 255)
-                excluded = np.bincount(slot, self._count(above, wide), slots).astype(np.float32)
-            above = (cell, count.astype(np.float32))
-            self.levels.append((bits, *above, total, followers, excluded))
-        known = int(self.levels[0][4].sum())
-        self.unseen = -np.log10(max(256 - known, 1))
-
-    @staticmethod
-    def _count(level, cell: np.ndarray) -> np.ndarray:
-        cells, counts = level
-        if not len(cells):
-            return np.zeros(len(cell), np.float32)
-        at = np.minimum(np.searchsorted(cells, cell), len(cells) - 1)
-        return np.where(cells[at] == cell, counts[at], 0)
-
-    def cost(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of each word and the space behind it."""
-        if not words:
-            return np.zeros(0)
-        flat, place, word, room = _positions(words)
-        cost = np.zeros(len(place))
-        open_ = np.arange(len(place))
-        # Of each open symbol: what the longer context excludes here, and its followers there.
-        less, fewer = np.zeros(len(place)), np.zeros(len(place))
-        for order in range(ORDER, -1, -1):
-            bits, cells, counts, total, followers, excluded = self.levels[order]
-            here = open_[room[open_] >= order]
-            if not len(here):
-                continue
-            slot = _slots(flat, place[here], order, bits)
-            known = total[slot] > 0
-            here, slot = here[known], slot[known]
-            count = self._count((cells, counts), (slot << 8) | flat[place[here]])
-            rest = np.maximum(followers[slot] - fewer[here], 0)
-            # Contexts that share a slot may exclude more than there is.
-            mass = np.maximum(total[slot] - less[here], np.maximum(rest, count)) + rest
-            seen = count > 0
-            cost[here[seen]] += np.log10(count[seen] / mass[seen])
-            escape = ~seen & (rest > 0)
-            cost[here[escape]] += np.log10(rest[escape] / mass[escape])
-            missed = here[~seen]
-            less[missed] = excluded[slot[~seen]] if excluded is not None else 0
-            fewer[missed] = followers[slot[~seen]]
-            done = np.zeros(len(place), bool)
-            done[here[seen]] = True
-            open_ = open_[~done[open_]]
-        cost[open_] += self.unseen
-        return np.bincount(word, cost, minlength=int(word[-1]) + 1)
-
-
-def pieces_of(texts: list[str | None]) -> Iterator[tuple[int, bytes]]:
+def pieces_of(texts: Iterable[str | None]) -> Iterator[tuple[int, bytes]]:
     """(text's number, ``ORDER`` bytes of context and the symbols behind them)."""
     for row, text in enumerate(texts):
         data = MARK * ORDER + (text or "").encode() + MARK
@@ -167,7 +63,7 @@ def grams_of(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return gram[np.arange(sizes.sum()) + ORDER * np.repeat(np.arange(len(sizes)), sizes)], sizes
 
 
-def _in_chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[bytes]]]:
+def _in_chunks(texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[bytes]]]:
     rows, pieces, size = [], [], 0
     for row, piece in pieces_of(texts):
         rows.append(row)
@@ -201,7 +97,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             texts, held = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
             for trains in (True, False):
                 chosen = texts.filter(pa.array(held != trains))
-                for _, pieces in _in_chunks(chosen.to_pylist()):
+                some = (t.as_py() for t in chosen)
+                for _, pieces in _in_chunks(some):
                     gram, times = np.unique(grams_of(pieces)[0], return_counts=True)
                     parts.append(np.stack([gram, times * trains, times]))
                     if sum(x.shape[1] for x in parts) > GRAMS:
@@ -336,8 +233,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
             total.clear()
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(words_of(text))
+            for text in batch.column(0):
+                total.update(words_of(text.as_py()))
                 if len(total) > REMEMBERED:
                     yield from flushed()
         yield from flushed()

@@ -286,13 +286,20 @@ def test_ppm_counts_and_scores(docs, awkward, texts):
 
 
 def test_ppm_spells_a_distribution():
-    words = [b"the", b"then", b"other", b"there", b"ratio"]
-    cells = [(ppm.SLOT_BITS, c, p, n) for _, c, p, n in ppm.trie_cells(words, np.ones(len(words)))]
-    trie = ppm.Trie(cells)
-    # All words of one byte and their continuations can't be more likely than certain.
-    one = trie.cost([bytes([b]) for b in range(256) if b != ppm.SPACE])
-    assert (10**one).sum() <= 1.0 + 1e-6
-    assert trie.cost([b"the"])[0] > trie.cost([b"thx"])[0] > trie.cost([b"zzz"])[0]
+    """Behind any context the probabilities of all 256 bytes sum to one."""
+    text = ppm.MARK * ppm.ORDER + b"the other there; then the ratio of the other bathes " + ppm.MARK
+    seen, counts = np.unique(ppm.grams_of([text])[0], return_counts=True)
+    pairs = np.bincount(seen & 0xFFFF, counts, 65_536)
+    short = ppm.short_levels(pairs)
+    for context in (b"n the", b"zzthe", b"zzzhe"):
+        every = (int.from_bytes(context, "big") << 8) + np.arange(256)
+        alike = seen[(seen >> 8) & 0xFFFF == int.from_bytes(context[-2:], "big")]
+        grams = np.union1d(every, alike)
+        known = np.isin(grams, seen)
+        times = np.zeros(len(grams))
+        times[known] = counts[np.searchsorted(seen, grams[known])]
+        cost = ppm.gram_costs(grams, times, short)
+        assert (10 ** cost[np.isin(grams, every)]).sum() == pytest.approx(1)
 
 
 def test_ppm_scores_the_order_of_words(spark):
