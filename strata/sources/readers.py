@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from strata.sources.split_csv import read_csv_ranges
+
 CORRUPT = "_corrupt_record"
 
 
@@ -23,9 +25,12 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, every column a string.
 
-    ``multiline`` keeps line breaks inside quotes but makes each file one task; turn it off
-    for producers that write one record per line, and large files are split.
+    ``multiline`` keeps line breaks inside quotes, at the cost of a pass that finds where records
+    begin; turn it off for producers that write one record per line.  Large files are split either
+    way, except with a schema and ``multiline``.
     """
+    if multiline and schema is None:
+        return read_csv_ranges(spark, path)
     reader = spark.read.options(
         header=True, inferSchema=False, multiLine=multiline, quote='"', escape='"'
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,13 @@ from strata.sinks.files import (
     write_xml,
 )
 from strata.sinks.tables import create_schemas, row_counts, upsert, write_table
-from strata.sources.manifest import SourceSpec, ingest_all, ingest_single
+from strata.sources.manifest import (
+    SEMI_STRUCTURED,
+    STRUCTURED,
+    SourceSpec,
+    ingest_all,
+    ingest_single,
+)
 from strata.sources.readers import (
     merge_pages,
     optional_table,
@@ -221,6 +228,91 @@ def manifest_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return status.join(counts, "table_name", "left")
 
 
+# Bronze keeps what a declaration lacks: remarks with line breaks, fields nobody declared, pages
+# that were cut off on the way.
+_REMARK = "concat('said \"', o_orderstatus, '\",', chr(10), 'twice', chr(10), o_clerk_note)"
+_PAGE_CUT = "o_orderkey % 17 = 0"
+
+
+def _clerk(table_sql: str) -> str:
+    return f"(SELECT *, cast(o_custkey AS varchar) AS o_clerk_note FROM {table_sql})"
+
+
+_URGENT = "orders WHERE o_orderpriority = '1-URGENT'"
+_POLICY_ID = "concat('P-', cast(o_orderkey AS varchar))"
+_PAGE_KEY = "cast(o_orderkey AS varchar)"
+_CUT_PAGE = f"""concat('{{"metadata":{{"count":2}},"FimaNfipClaims":[{{"id":"', {_PAGE_KEY}, '","st')"""
+
+
+@query(
+    "bronze_manifest",
+    f"""SELECT 'property_policies_csv' AS table_name, {_POLICY_ID} AS id, {_REMARK} AS content,
+        cast(null AS varchar) AS rest, cast(null AS varchar) AS corrupt FROM {_clerk(_URGENT)}
+    UNION ALL SELECT 'property_policies_json', {_POLICY_ID}, 'UW', concat('{{"telematics_score":"',
+        cast(o_custkey AS varchar), '","trips":"[{{\\"km\\":', cast(o_custkey % 7 AS varchar), '}}]"}}'), null
+        FROM {_URGENT}
+    UNION ALL SELECT 'property_fema_claims_json', concat({_PAGE_KEY}, '-', k), 'TX',
+        CASE WHEN k = '2' THEN concat('{{"adjuster":"', cast(o_custkey AS varchar), '"}}') END, null
+        FROM {_URGENT.replace("orders", "orders CROSS JOIN (VALUES ('1'), ('2')) AS n(k)")} AND NOT {_PAGE_CUT}
+    UNION ALL SELECT 'property_fema_claims_json', null, null, null, {_CUT_PAGE}
+        FROM {_URGENT} AND {_PAGE_CUT}
+    UNION ALL SELECT 'property_fema_claims_json_pages', CASE WHEN {_PAGE_CUT} THEN 'corrupt' ELSE 'parsed' END,
+        CASE WHEN NOT {_PAGE_CUT} THEN '2' END, CASE WHEN {_PAGE_CUT} THEN '0' ELSE '2' END, null FROM {_URGENT}
+    UNION ALL SELECT 'status', 'loaded', null, null, cast(n AS varchar) FROM (VALUES (3)) AS v(n)
+    UNION ALL SELECT 'status', 'skipped', null, null, '15'""",
+)
+def bronze_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The manifest's own sources from files that hold more than is declared, and broken pages."""
+    base = scratch_path(spark, "landing")
+    orders = table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'")
+    orders = orders.selectExpr("*", "cast(o_custkey as string) AS o_clerk_note")
+    policy = F.expr("concat('P-', cast(o_orderkey as string))").alias("policy_id")
+    write_csv(orders.select(policy, F.expr(_REMARK).alias("remarks")), f"{base}/property/synthetic_policies_csv")
+    trips = F.array(F.struct((F.col("o_custkey") % 7).alias("km"))).alias("trips")
+    write_json_lines(
+        orders.select(policy, F.lit("UW").alias("underwriter"), F.col("o_custkey").alias("telematics_score"), trips),
+        f"{base}/property/synthetic_policies_json",
+    )
+
+    def claim(number: str, *more: Column) -> Column:
+        key = F.concat(F.col("o_orderkey").cast("string"), F.lit(f"-{number}"))
+        return F.to_json(F.struct(key.alias("id"), F.lit("TX").alias("state"), *more))
+
+    records = F.concat_ws(",", claim("1"), claim("2", F.col("o_custkey").alias("adjuster")))
+    whole = F.concat(F.lit('{"metadata":{"count":2},"FimaNfipClaims":['), records, F.lit("]}"))
+    pages = orders.select(F.when(F.expr(_PAGE_CUT), F.expr(_CUT_PAGE.replace("varchar", "string"))).otherwise(whole))
+    pages.write.text(f"{base}/property/fema_nfip_claims")
+    layers = Layers(spark, f"run{uuid.uuid4().hex[:12]}_", scratch_path(spark, "lake")).create()
+    # One page per line here: the given tables would make one small file of every order.
+    sources = [
+        replace(s, multiline=False) if s.fmt == "envelope" else s for s in (*STRUCTURED, *SEMI_STRUCTURED)
+    ]
+    status = ingest_all(
+        spark, sources, base, lambda df, name: layers.write("bronze", name, df) and None,
+        "batch-1", datetime(2024, 1, 1),
+    )
+
+    def rows(name: str, *columns: str) -> DataFrame:
+        names = ("id", "content", "rest", "corrupt")
+        values = [F.expr(sql).cast("string").alias(c) for c, sql in zip(names, columns, strict=True)]
+        return spark.table(layers.name("bronze", name)).select(F.lit(name).alias("table_name"), *values)
+
+    counts = status.groupBy("status").count()
+    return union_all(
+        [
+            rows("property_policies_csv", "policy_id", "remarks", "null", "_corrupt_record"),
+            rows("property_policies_json", "policy_id", "underwriter", "_rest", "_corrupt_record"),
+            rows("property_fema_claims_json", "id", "state", "_rest", "_corrupt_record"),
+            rows("property_fema_claims_json_pages", "status", "announced", "found", "null"),
+            counts.select(
+                F.lit("status").alias("table_name"), F.col("status").alias("id"),
+                *[F.lit(None).cast("string").alias(c) for c in ("content", "rest")],
+                F.col("count").cast("string").alias("corrupt"),
+            ),
+        ]
+    )
+
+
 @query(
     "ingest_single",
     """SELECT cast(s_suppkey AS varchar) AS s_suppkey, s_name, 'csv' AS _source_format,
