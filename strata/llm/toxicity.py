@@ -181,8 +181,8 @@ def fit(
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         n = [0, 0]
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[label].update({t for t, _ in features(terms_of(text))})
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                counts[label].update({t for t, _ in features(terms_of(text.as_py()))})
                 n[label] += 1
         terms = list(counts[0] | counts[1]) + [""]
         for y in (0, 1):
@@ -223,8 +223,8 @@ def fit(
         count, n = Counter(), 0
         for batch in batches:
             n += batch.num_rows
-            for text in batch.column(0).to_pylist():
-                words = dict.fromkeys(LETTERS.findall((text or "").lower()), 1)
+            for text in batch.column(0):
+                words = dict.fromkeys(LETTERS.findall((text.as_py() or "").lower()), 1)
                 count.update({t for t, _ in features(words, wanted)})
         count[""] = n
         yield pa.RecordBatch.from_arrays(
@@ -238,7 +238,7 @@ def fit(
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            times = [list(features(terms_of(t), wanted)) for t in batch.column(1).to_pylist()]
+            times = [list(features(terms_of(t.as_py()), wanted)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -294,8 +294,8 @@ def score(
         model = sent.value
         for batch in batches:
             found = [
-                model.score(i, t)
-                for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                model.score(i, t.as_py())
+                for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
             ]
             evidence = pa.struct(
                 [("id", batch.schema.field(0).type), ("cosine", pa.float64()), ("label", pa.int32())]
@@ -336,7 +336,7 @@ def accepted(
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            pairs = zip(batch.column(at_id).to_pylist(), batch.column(at_text).to_pylist(), strict=True)
-            yield batch.filter(pa.array([model.score(i, t)[0] < threshold for i, t in pairs], pa.bool_()))
+            pairs = zip(batch.column(at_id).to_pylist(), batch.column(at_text), strict=True)
+            yield batch.filter(pa.array([model.score(i, t.as_py())[0] < threshold for i, t in pairs], pa.bool_()))
 
     return docs.mapInArrow(passed, docs.schema)
