@@ -36,7 +36,8 @@ def deduplicate(
     map task sends at most one row per key, so a hot key never gathers in one task.
 
     NULL is a key like any other, unless ``keep_null_keys``: then rows with a NULL in any key
-    column repeat nothing and all stay, without a shuffle (the input is scanned once more).
+    column repeat nothing and all stay.  Each of them gets a number of its own as a further key, so
+    the input is read once and such rows spread over all partitions.
     """
     if order_column not in df.columns:
         raise ValueError(f"order column {order_column!r} is missing; name one that exists")
@@ -50,12 +51,14 @@ def deduplicate(
     first = F.col(order_column)
     first = first.asc_nulls_first() if ascending else first.desc_nulls_last()
     order = [first, *[F.col(c).asc_nulls_first() for c in tie_breakers]]
-    rank = F.row_number().over(Window.partitionBy(*key_columns).orderBy(*order))
     if not keep_null_keys:
+        rank = F.row_number().over(Window.partitionBy(*key_columns).orderBy(*order))
         return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
     keyed = reduce(and_, [F.col(c).isNotNull() for c in key_columns])
-    first_rows = df.filter(keyed).withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
-    return first_rows.unionByName(df.filter(~keyed))
+    alone = F.when(~keyed, F.monotonically_increasing_id())
+    rank = F.row_number().over(Window.partitionBy(*key_columns, "__alone").orderBy(*order))
+    ranked = df.withColumn("__alone", alone).withColumn("__rank", rank).filter("__rank = 1")
+    return ranked.drop("__alone", "__rank")
 
 
 def repeated_keys(df: DataFrame, columns: Sequence[str], count_name: str) -> DataFrame:

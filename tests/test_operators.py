@@ -50,6 +50,15 @@ def test_deduplicate_newest_with_null_order_and_ties(spark):
     assert got == {"a": "new", "b": "y", "c": "zero", "d": "only", None: "k2"}
 
 
+def test_dedup_that_keeps_null_keys_reads_its_input_once(spark, plan, tmp_path):
+    spark.range(9).selectExpr("if(id > 5, null, id % 2) AS k", "id AS t").write.parquet(str(tmp_path / "in"))
+    got = deduplicate(spark.read.parquet(str(tmp_path / "in")), ["k"], "t", keep_null_keys=True)
+    text = plan(got)
+    assert rows(got) == sorted([(0, 4), (1, 5), (None, 6), (None, 7), (None, 8)], key=repr)
+    # One scan, one shuffle, and the first rows are picked before it as well.
+    assert (text.count("FileScan"), text.count("Exchange"), text.count("WindowGroupLimit")) == (1, 1, 2)
+
+
 def test_deduplicate_can_keep_all_rows_without_a_key(spark):
     df = spark.createDataFrame(
         [("a", 1), ("a", 2), (None, 1), (None, 1), (None, 3)], "k string, t int"
