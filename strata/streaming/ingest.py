@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.dedup import deduplicate
 from strata.sinks.tables import upsert
+from strata.sinks.versions import VersionedTable
 
 
 def stream_files(
@@ -77,6 +78,24 @@ def upsert_stream(
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def upsert_stream_versioned(
+    stream: DataFrame, target: VersionedTable, order_column: str, checkpoint: str
+) -> StreamingQuery:
+    """Merge each micro-batch into a versioned table: the newest row per key wins.
+
+    A batch is written once and rewrites only the files that hold one of its keys; readers see
+    the version before it or the one after it.  Replays are harmless as in :func:`upsert_stream`.
+    """
+
+    def merge(batch: DataFrame, _: int) -> None:
+        # Micro-batches run in a session of their own.
+        table = VersionedTable(batch.sparkSession, target.root, target.keys)
+        table.upsert(deduplicate(batch, table.keys, order_column, keep_null_keys=True), order_column)
+
+    writer = stream.writeStream.foreachBatch(merge)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def drain(query: StreamingQuery, spark: SparkSession, table: str | None = None) -> None:
     """Wait for an ``availableNow`` query and raise what stopped it.
 

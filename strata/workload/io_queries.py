@@ -24,6 +24,7 @@ from strata.sinks.files import (
     write_xml,
 )
 from strata.sinks.tables import create_schemas, row_counts, upsert, write_table
+from strata.sinks.versions import VersionedTable
 from strata.sources.manifest import (
     SEMI_STRUCTURED,
     STRUCTURED,
@@ -41,7 +42,13 @@ from strata.sources.readers import (
     read_parquet,
     read_xml,
 )
-from strata.streaming.ingest import append_stream, drain, stream_files, upsert_stream
+from strata.streaming.ingest import (
+    append_stream,
+    drain,
+    stream_files,
+    upsert_stream,
+    upsert_stream_versioned,
+)
 from strata.workload.raw import table
 from strata.workload.registry import query
 
@@ -442,6 +449,38 @@ def upsert_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(name)
 
 
+@query("upsert_versioned", _UPSERT_SQL)
+def upsert_versioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions in a commit log; an upsert rewrites the files that hold one of its keys."""
+    base, changes = _upsert_frames(spark, sf)
+    target = VersionedTable(spark, scratch_path(spark, "versioned"), ["o_orderkey"])
+    target.overwrite(base)
+    target.upsert(changes)
+    return target.read()
+
+
+@query(
+    "versioned_history",
+    """SELECT 1 AS version, 'overwrite' AS operation, count(*) AS row_count FROM orders
+    UNION ALL SELECT 2, 'upsert', count(*) + count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders
+    UNION ALL SELECT 3, 'append', 2 * count(*) + count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders""",
+)
+def versioned_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Every version stays readable; its rows are counted from its list of files."""
+    base, changes = _upsert_frames(spark, sf)
+    target = VersionedTable(spark, scratch_path(spark, "versioned"), ["o_orderkey"])
+    target.overwrite(base)
+    target.upsert(changes)
+    target.append(base.select(*target.read().columns))
+    history = [
+        target.files(v).agg(F.sum("n_rows").alias("row_count")).select(
+            F.lit(v).alias("version"), F.lit(target.commit_of(v)["operation"]).alias("operation"), "row_count"
+        )
+        for v in target.versions()
+    ]
+    return union_all(history)
+
+
 _LAYERED = ("customer", "orders", "supplier")
 
 
@@ -510,12 +549,12 @@ def stream_incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "ts", "event_type", "value", "_source_format")
 
 
-@query(
-    "stream_upsert",
-    """SELECT user_id, event_id, event_type, cast(value AS decimal(18,2)) AS value FROM events
+_LATEST_SQL = """SELECT user_id, event_id, event_type, cast(value AS decimal(18,2)) AS value FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id
-    ORDER BY ts DESC, event_id) = 1""",
-)
+    ORDER BY ts DESC, event_id) = 1"""
+
+
+@query("stream_upsert", _LATEST_SQL)
 def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Latest event per user; late rows of the second wave change nothing."""
     landing, name = scratch_path(spark, "arrivals"), f"{fresh_schema(spark)}.latest"
@@ -527,3 +566,17 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
         stream = stream_files(spark, landing, _event_schema())
         drain(upsert_stream(stream, name, ["user_id"], "ts", checkpoint), spark, name)
     return spark.table(name).select("user_id", "event_id", "event_type", "value")
+
+
+@query("stream_upsert_versioned", _LATEST_SQL)
+def stream_upsert_versioned(spark: SparkSession, sf: str) -> DataFrame:
+    """The same through a versioned table: a micro-batch rewrites the files it touches."""
+    landing, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "checkpoint")
+    target = VersionedTable(spark, scratch_path(spark, "versioned"), ["user_id"])
+    events = _events(spark, sf)
+    first = F.col("event_type").isin("click", "view")
+    for wave in (events.filter(first), events.filter(~first)):
+        wave.write.mode("append").json(landing)
+        stream = stream_files(spark, landing, _event_schema())
+        drain(upsert_stream_versioned(stream, target, "ts", checkpoint), spark)
+    return target.read().select("user_id", "event_id", "event_type", "value")
