@@ -116,6 +116,26 @@ def line_attributes(silver: Silver, line: Line) -> DataFrame:
     )
 
 
+def silver_attributes(silver: Silver, lines: Sequence[Line]) -> DataFrame | None:
+    """Attributes of all lines and injury counts, one row per policy: one shuffle and one join.
+
+    Every column comes from one line, so of a policy's rows at most one has it.
+    """
+    frames = [
+        line_attributes(silver, line)
+        for line in lines
+        if line.attributes and line.policies.name in silver
+    ]
+    if WORKERS_COMP.claims.name in silver:
+        frames.append(injury_counts(silver[WORKERS_COMP.claims.name]))
+    if not frames:
+        return None
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    names = [c for c in rows.columns if c != "policy_key"]
+    values = [F.first(c, ignorenulls=True).alias(c) for c in names]
+    return rows.where("policy_key IS NOT NULL").groupBy("policy_key").agg(*values)
+
+
 def with_expiry(df: DataFrame, as_of: date) -> DataFrame:
     """Days to expiry on a given day; a policy expiring that day is no longer active."""
     days = F.datediff(key_to_date("expiration_date_key"), F.lit(as_of))
@@ -178,11 +198,9 @@ def mart_policy_360(
     if "fact_claim_transaction" in gold and "dim_claim" in gold:
         parts.append(claims_rollup(gold["fact_claim_transaction"]))
         parts.append(claim_status_counts(gold["dim_claim"]))
-    for line in lines:
-        if line.attributes and line.policies.name in silver:
-            parts.append(line_attributes(silver, line))
-    if WORKERS_COMP.claims.name in silver:
-        parts.append(injury_counts(silver[WORKERS_COMP.claims.name]))
+    attributes = silver_attributes(silver, lines)
+    if attributes is not None:
+        parts.append(attributes)
     mart = reduce(lambda left, right: left.join(right, "policy_key", "left"), parts, mart)
 
     if "fact_premium" not in gold:
