@@ -14,7 +14,7 @@ from strata.plans import dimensions as dims
 from strata.plans import facts
 from strata.plans.mart import mart_policy_360
 from strata.plans.silver import build_silver
-from strata.sinks.tables import create_schemas, row_counts, write_table
+from strata.sinks.tables import create_schemas, recover_table, row_counts, write_table
 from strata.sources.manifest import CONCURRENT_LOADS, SEMI_STRUCTURED, STRUCTURED, ingest_all
 from strata.sources.readers import optional_table
 from strata.specs.lines import LINES, Line, silver_specs
@@ -52,6 +52,8 @@ class Layers:
         return self.spark.table(self.name(layer, table))
 
     def optional(self, layer: str, table: str) -> DataFrame | None:
+        # A replacement that ended half-way must not look like a table that never was.
+        recover_table(self.spark, self.name(layer, table))
         return optional_table(self.spark, self.name(layer, table))
 
     def existing(self, layer: str, tables: Sequence[str]) -> dict[str, DataFrame]:

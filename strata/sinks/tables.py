@@ -1,8 +1,9 @@
 """Catalog tables: overwrite, append, partitioned layout and upsert.
 
 A table other than Delta is replaced by writing a new version into a folder of its own and
-then pointing the name at it.  Nothing is moved or deleted: a job that fails, however late,
-leaves the old version in place, a rerun never meets its leftovers, and a table may be read
+then pointing the name at it: in one step where columns and layout stay as they are, else by
+dropping the name and giving it to the new version (:func:`recover_table` finishes what ended in
+between).  Nothing is moved or deleted: a job that fails, however late, leaves the old version in place, a rerun never meets its leftovers, and a table may be read
 by the query that replaces it.  Versions no longer named stay below the table's folder, as
 with Delta, until the site's retention removes them (:func:`current_location` tells which
 one is live).
@@ -60,11 +61,32 @@ def write_table(
     version = uuid.uuid4().hex
     schema, table = name.rsplit(".", 1)
     root = spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+    if not partition_by and not bucket_by and _same_shape(df, name):
+        writer.save(f"{root}/{table}/{version}")
+        _point_to(spark, name, f"{root}/{table}/{version}")
+        return
     staged = f"{name}{STAGED}{version}"
     writer.option("path", f"{root}/{table}/{version}").saveAsTable(staged)
     _take_name(spark, staged, name)
 
 
+def _same_shape(df: DataFrame, name: str) -> bool:
+    """Is there such a table, with the same columns and neither partitions nor buckets?"""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        return False
+    if any(c.isPartition or c.isBucket for c in spark.catalog.listColumns(name)):
+        return False
+    shape = lambda frame: [(f.name, f.dataType) for f in frame.schema.fields]
+    return shape(df) == shape(spark.table(name))
+
+
+def _point_to(spark: SparkSession, name: str, path: str) -> None:
+    """Move the name to another folder in one step: a reader finds the old rows or the new ones."""
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
 def _take_name(spark: SparkSession, staged: str, name: str) -> None:
     """Point the name at a staged version; both steps touch the catalog only."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -293,3 +293,37 @@ def test_file_sinks(spark, tmp_path):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_a_table_of_the_same_columns_is_replaced_in_one_step(spark, schema, monkeypatch):
+    from strata.sinks import tables
+
+    name = f"{schema}.t"
+    write_table(spark.createDataFrame([(1, "a")], "k int, v string"), name)
+    first = current_location(spark, name)
+    with monkeypatch.context() as patched:
+        # Neither dropped nor renamed, so there is no moment without the table.
+        patched.setattr(tables, "_take_name", lambda *_: pytest.fail("the name was dropped"))
+        write_table(spark.table(name).selectExpr("k + 1 AS k", "v"), name)
+        assert rows(spark.table(name)) == [(2, "a")]
+    assert current_location(spark, name) != first and os.path.isdir(first.removeprefix("file:"))
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_point_to", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            write_table(spark.createDataFrame([(9, "z")], "k int, v string"), name)
+    assert rows(spark.table(name)) == [(2, "a")]
+    write_table(spark.createDataFrame([(3, "c", True)], "k int, v string, w boolean"), name)
+    assert rows(spark.table(name)) == [(3, "c", True)]
+    write_table(spark.table(name), name, partition_by=["w"])
+    write_table(spark.createDataFrame([(4, "d", False)], "k int, v string, w boolean"), name)
+    assert rows(spark.table(name)) == [(4, "d", False)]
+
+
+def test_a_half_finished_replacement_is_found_by_the_layers(spark, layers):
+    from strata.sinks import tables
+
+    layers.write("gold", "dim_x", spark.range(1))
+    name = layers.name("gold", "dim_x")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}{tables.STAGED}abc")
+    assert layers.optional("gold", "dim_x").count() == 1
+    assert layers.optional("gold", "never") is None
