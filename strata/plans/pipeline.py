@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.quality import VALID
 from strata.plans import dimensions as dims
 from strata.plans import facts
 from strata.plans.mart import mart_policy_360
 from strata.plans.silver import build_silver
 from strata.sinks.tables import create_schemas, recover_table, row_counts, write_table
 from strata.sources.manifest import CONCURRENT_LOADS, SEMI_STRUCTURED, STRUCTURED, ingest_all
-from strata.sources.readers import optional_table
+from strata.sources.readers import literal_relation, optional_table
 from strata.specs.lines import LINES, Line, silver_specs
 from strata.specs.reference import COVERAGES, LINES_OF_BUSINESS
 
@@ -27,6 +28,26 @@ LAYER_COMMENTS = {
 }
 
 
+WRITTEN_DDL = """layer string, table_name string, row_count bigint, invalid_rows bigint,
+    key_checksum decimal(38,0), content_checksum decimal(38,0)"""
+
+
+def with_metrics(df: DataFrame, watched: Observation) -> DataFrame:
+    """The frame, whose rows are counted in the very task that writes them.
+
+    Both checksums are sums over the rows, so the order of rows does not matter: one of 32 bits of
+    the MD5 of the first column as text (any engine can repeat it), one of all columns' hash.
+    """
+    key = F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit(""))
+    part = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("decimal(38,0)")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    invalid = F.count_if(~F.col(VALID)) if VALID in df.columns else F.count_if(F.lit(False))
+    return df.observe(
+        watched, F.count(F.lit(1)).alias("row_count"), invalid.alias("invalid_rows"),
+        F.sum(part).alias("key_checksum"), F.sum(whole).alias("content_checksum"),
+    )
+
+
 @dataclass
 class Layers:
     """The three schemas of a run.  ``prefix`` keeps runs apart in one catalog."""
@@ -35,6 +56,9 @@ class Layers:
     prefix: str = ""
     location: str | None = None
     fmt: str = "parquet"
+    #: Count rows and checksums while writing; :meth:`written` lists them.
+    observe: bool = False
+    metrics: dict[tuple[str, str], dict] = field(default_factory=dict)
 
     def schema(self, layer: str) -> str:
         return f"{self.prefix}{layer}"
@@ -48,6 +72,11 @@ class Layers:
         return f"{self.schema(layer)}.{table}"
 
     def write(self, layer: str, table: str, df: DataFrame, **options) -> DataFrame:
+        if self.observe:
+            watched = Observation()
+            write_table(with_metrics(df, watched), self.name(layer, table), fmt=self.fmt, **options)
+            self.metrics[layer, table] = watched.get
+            return self.spark.table(self.name(layer, table))
         write_table(df, self.name(layer, table), fmt=self.fmt, **options)
         return self.spark.table(self.name(layer, table))
 
@@ -60,6 +89,14 @@ class Layers:
         found = {t: self.optional(layer, t) for t in tables}
         return {t: df for t, df in found.items() if df is not None}
 
+    def written(self) -> DataFrame:
+        """What was counted while writing, one row per table; no table is read for it."""
+        rows = [
+            (layer, table, m["row_count"], m["invalid_rows"], int(m["key_checksum"] or 0), int(m["content_checksum"] or 0))
+            for (layer, table), m in sorted(self.metrics.items())
+        ]
+        return literal_relation(self.spark, rows, WRITTEN_DDL)
+
     def counts(self) -> DataFrame:
         return row_counts(self.spark, [self.schema(layer) for layer in LAYER_COMMENTS])
 
@@ -198,7 +235,7 @@ def run_pipeline(
     batch_id: str | None = None,
     ingested_at: datetime | None = None,
 ) -> DataFrame:
-    """Bronze to mart; returns the row count of every table written."""
+    """Bronze to mart; returns the row count of every table, or what ``layers`` observed."""
     layers.create()
     if landing is not None:
         run_bronze(layers, landing, batch_id, ingested_at)
@@ -208,4 +245,4 @@ def run_pipeline(
     mart = build_mart(layers, as_of, lines)
     if mart is not None:
         layers.write("gold", "mart_policy_360", mart)
-    return layers.counts()
+    return layers.written() if layers.observe else layers.counts()

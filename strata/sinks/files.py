@@ -8,7 +8,9 @@ from strata.sources.readers import read_csv
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    """With a header; blanks around a value are part of it and stay."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, quote='"', escape='"', **kept).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

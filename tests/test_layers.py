@@ -394,3 +394,27 @@ def test_sixth_line_is_data_only(spark):
 
 def test_lines_are_five():
     assert [line.code for line in LINES] == ["PROP", "WC", "AUTO", "GL", "UMB"]
+
+
+def test_rows_are_counted_while_they_are_written(spark, layers):
+    layers.observe = True
+    rows = spark.createDataFrame([("a", True), ("b", False), (None, None)], "k string, _is_valid boolean")
+    layers.write("silver", "t", rows)
+    layers.write("silver", "u", rows.repartition(3))
+    layers.write("gold", "none", rows.where("k = 'z'"))
+    found = {r.table_name: r for r in layers.written().collect()}
+    assert (found["t"].row_count, found["t"].invalid_rows) == (3, 1)
+    # The order of rows and their partitions change no checksum; their values do.
+    assert found["t"][4:] == found["u"][4:]
+    assert found["none"].row_count == 0 and found["none"].key_checksum == 0
+    layers.write("silver", "u", rows.withColumn("_is_valid", F.lit(True)))
+    changed = {r.table_name: r for r in layers.written().collect()}["u"]
+    assert changed.key_checksum == found["u"].key_checksum and changed.content_checksum != found["u"].content_checksum
+
+
+def test_the_mart_joins_the_attributes_of_all_lines_once(spark, plan):
+    from strata.workload.layer_queries import AS_OF, lake
+    from strata.plans.pipeline import build_mart
+
+    text = plan(build_mart(lake(spark, "/root/testdata/sf0.001"), AS_OF))
+    assert text.count("Join ") + text.count("Join(") <= 8, text

@@ -327,3 +327,12 @@ def test_a_half_finished_replacement_is_found_by_the_layers(spark, layers):
     spark.sql(f"ALTER TABLE {name} RENAME TO {name}{tables.STAGED}abc")
     assert layers.optional("gold", "dim_x").count() == 1
     assert layers.optional("gold", "never") is None
+
+
+def test_csv_keeps_blanks_around_values(spark):
+    path, again = scratch_path(spark, "csv"), scratch_path(spark, "csv")
+    data = [(" a ", "b  "), ("\tc", " d\n ")]
+    write_csv(spark.createDataFrame(data, "x string, y string"), path)
+    assert rows(read_csv(spark, path)) == rows(spark.createDataFrame(data, "x string, y string"))
+    reland_csv(spark, path, again)
+    assert rows(read_csv(spark, again)) == rows(read_csv(spark, path))
