@@ -30,7 +30,7 @@ from strata.llm.shingles import shingle_sets
 #: Slots of the table that tells frequent n-grams from others; fixed, whatever the corpus.
 SLOT_BITS = 22
 #: N-grams a task counts at once, rows of a block of the product, rows that are paired by a join.
-COUNTED, BLOCK_ROWS, FEW = 4_000_000, 512, 12
+COUNTED, BLOCK_ROWS, FEW = 1_000_000, 512, 12
 #: Times that an n-gram's rows are checked against one of them before all others are multiplied.
 STAR_TURNS = 2
 
