@@ -41,7 +41,7 @@ STAGES = [
     ("SentencePiece encoding", encode_texts),
 ]
 
-#: SQL cannot express the stages; tests hold each against a brute-force version.
+#: SQL cannot express the stages; tests hold their operators against brute force or the library.
 ORACLE_SQL = None
 
 
