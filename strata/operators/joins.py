@@ -79,10 +79,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_CONSTANT_ROWS) -> Data
 def with_exists_flag(
     df: DataFrame, column: str, reference: DataFrame, ref_column: str, flag: str
 ) -> DataFrame:
-    """Add a boolean: does the value occur in the reference?  NULL never does."""
+    """Add a boolean: does the value occur in the reference?  NULL never does.
+
+    Each row with NULL has a number of its own as a second key, so these rows spread over all
+    partitions instead of meeting in one.
+    """
     refs = reference.select(F.col(ref_column).alias("__ref")).filter("__ref IS NOT NULL")
-    refs = refs.distinct().withColumn("__hit", F.lit(True))
-    joined = df.join(refs, F.col(column) == F.col("__ref"), "left")
+    refs = refs.distinct().select("__ref", F.lit(0).cast("bigint").alias("__place"), F.lit(True).alias("__hit"))
+    alone = F.when(F.col(column).isNull(), F.monotonically_increasing_id()).otherwise(0)
+    rows = df.withColumn("__alone", alone)
+    same = (F.col(column) == F.col("__ref")) & (F.col("__alone") == F.col("__place"))
+    joined = rows.join(refs, same, "left")
     return joined.select(
         *[F.col(c) for c in df.columns], F.coalesce(F.col("__hit"), F.lit(False)).alias(flag)
     )

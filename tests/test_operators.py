@@ -329,3 +329,22 @@ def test_checks_and_casts_of_malformed_text(spark):
     assert whole == [3, 2, None, -1]
     checked = DataQualityChecker(df).check_positive("b").check_range("b", 0, 9).check_date_range("b")
     assert checked.apply().count() == 4
+
+
+def test_exists_flag_spreads_rows_without_a_value(spark):
+    df = spark.range(4000).selectExpr("id", "if(id % 4 > 0, null, id % 40) AS k")
+    reference = spark.createDataFrame([(0,), (8,), (None,), (8,)], "r bigint")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        flagged = with_exists_flag(df, "k", reference, "r", "hit")
+        sizes = [r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect()]
+        hits = {r.id for r in flagged.where("hit").collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # Three rows in four have no value, and four partitions share them.
+    assert len(sizes) == 4 and max(sizes) < 2000
+    assert hits == {i for i in range(4000) if i % 4 == 0 and i % 40 in (0, 8)}
+    assert flagged.where("hit IS NULL").count() == 0 and flagged.columns == ["id", "k", "hit"]
