@@ -102,10 +102,11 @@ def claim_status_counts(dim_claim: DataFrame) -> DataFrame:
     )
 
 
-def injury_counts(claims: DataFrame) -> DataFrame:
-    """Claims per policy, grouped by the key the mart joins on: one shuffle, not two."""
-    keyed = claims.select(foreign_key("policy_id").alias("policy_key"))
-    return keyed.groupBy("policy_key").agg(F.count("*").alias("wc_injury_count"))
+def injuries(claims: DataFrame) -> DataFrame:
+    """One row per claim, to be summed per policy together with the attributes."""
+    return claims.select(
+        foreign_key("policy_id").alias("policy_key"), F.lit(1).cast("bigint").alias("wc_injury_count")
+    )
 
 
 def line_attributes(silver: Silver, line: Line) -> DataFrame:
@@ -119,7 +120,7 @@ def line_attributes(silver: Silver, line: Line) -> DataFrame:
 def silver_attributes(silver: Silver, lines: Sequence[Line]) -> DataFrame | None:
     """Attributes of all lines and injury counts, one row per policy: one shuffle and one join.
 
-    Every column comes from one line, so of a policy's rows at most one has it.
+    Every attribute comes from one line, so of a policy's rows at most one has it.
     """
     frames = [
         line_attributes(silver, line)
@@ -127,12 +128,14 @@ def silver_attributes(silver: Silver, lines: Sequence[Line]) -> DataFrame | None
         if line.attributes and line.policies.name in silver
     ]
     if WORKERS_COMP.claims.name in silver:
-        frames.append(injury_counts(silver[WORKERS_COMP.claims.name]))
+        frames.append(injuries(silver[WORKERS_COMP.claims.name]))
     if not frames:
         return None
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     names = [c for c in rows.columns if c != "policy_key"]
-    values = [F.first(c, ignorenulls=True).alias(c) for c in names]
+    values = [
+        (F.sum(c) if c == "wc_injury_count" else F.first(c, ignorenulls=True)).alias(c) for c in names
+    ]
     return rows.where("policy_key IS NOT NULL").groupBy("policy_key").agg(*values)
 
 
