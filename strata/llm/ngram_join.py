@@ -6,21 +6,26 @@ one of their first few n-grams, how many follows from their sizes.  Equal sets a
 
 1.  The rows of an n-gram are first checked against its hub, the row that meets the most others.
     That settles groups of copies with as many products as rows.
-2.  What is left are rows of one n-gram in different components.  They are multiplied block by
-    block, counting the overlap of their leading n-grams; pairs below the bound that follows
-    from their sizes are dropped, and the others are checked on their whole sets.
-
-So no link between components is lost, and links inside a component are not all listed.
+2.  What is left are rows of one n-gram in different components.  Those of a frequent n-gram are
+    parted by size, so that only sets of neighbouring sizes meet.  The first n-gram that two
+    similar sets share stands early in both, so a pair counts only where enough n-grams follow.
+    Rows are multiplied block by block, counting the overlap of their leading n-grams; pairs below
+    the bound that follows from their sizes are dropped, and the others are checked on their
+    whole sets.
+
+So no link between components is lost, and links inside a component are not all listed.  Of the
+leading n-grams only those that a second set has among its own are moved: no other can overlap.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
@@ -33,6 +38,8 @@ SLOT_BITS = 22
 COUNTED, BLOCK_ROWS, FEW = 1_000_000, 512, 12
 #: Times that an n-gram's rows are checked against one of them before all others are multiplied.
 STAR_TURNS = 2
+#: Bits of one of Spark's bitmaps; bits for each id that is looked for, and bitmaps at most (8 MB).
+BITMAP_BITS, BITS_EACH, MOST_BITMAPS = 4096 * 8, 128, 2048
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -92,57 +99,94 @@ def leading(n: int, num: int, den: int) -> int:
 
 
 def passing(a, b, n_a, n_b, overlap, num: int, den: int):
-    """Whether pairs whose leading n-grams ``a, b`` overlap that much can still be similar."""
+    """Whether pairs that share so many of their leading n-grams can still be similar.
+
+    Of either side ``(ids, at, size, last)``: the leading n-grams that others have too, their places
+    among the leading ones, how many of those there are, and the last.
+    """
     needed = -(-num * (n_a + n_b) // (num + den))
-    end = min(a[-1], b[-1])
+    end = min(a[3], b[3])
+
+    def upto(ids, at, size, last):  # at least so many stand up to the end
+        k = np.searchsorted(ids, end, "right")
+        return size if last == end else at[k - 1] + 1 if k else 0
+
     return min(n_a, n_b) >= needed and overlap >= max(
-        np.searchsorted(a, end, "right") - (n_a - needed),
-        np.searchsorted(b, end, "right") - (n_b - needed),
-        1,
+        upto(*a) - (n_a - needed), upto(*b) - (n_b - needed), 1
     )
 
 
 def _products(table: pa.Table, num: int, den: int) -> Iterator[tuple[int, int]]:
     """Pairs of one n-gram's rows in different components that can be similar."""
-    c, n, root = (table.column(x).to_numpy() for x in ("c", "n", "root"))
-    left = table.column("left").to_numpy(zero_copy_only=False)
-    right = table.column("right").to_numpy(zero_copy_only=False)
-    lists = table.column("lead").combine_chunks()
-    flat = lists.flatten().to_numpy()
+    c, n, root, place, size, last = (table.column(x).to_numpy() for x in ("c", "n", "root", "place", "size", "last"))
+    low, left, right = (table.column(x).to_numpy(zero_copy_only=False) for x in ("low", "left", "right"))
+    a, b = np.flatnonzero(left), np.flatnonzero(right)
+    of_a, of_b = lambda x: x[a][:, None], lambda x: x[b][None, :]
+    needed = -(-num * (of_a(n) + of_b(n)) // (num + den))
+    alike = np.minimum(of_a(n - place), of_b(n - place)) >= needed
+    alike &= (of_a(root) != of_b(root)) & (of_a(low) | of_b(low)) & ((of_a(c) < of_b(c)) | ~of_b(left))
+    some_a, some_b = alike.any(1), alike.any(0)
+    if not some_a.any():
+        return
+    a, b = a[some_a], b[some_b]
+    needed, alike = needed[some_a][:, some_b], alike[some_a][:, some_b]
+    lists, places = (table.column(x).combine_chunks() for x in ("ids", "at"))
+    flat, at = lists.flatten().to_numpy(), places.flatten().to_numpy()
     bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     row = np.repeat(np.arange(len(c)), np.diff(bounds))
-    distinct, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
     shared = times[column.ravel()] > 1
     row, column = row[shared], column.ravel()[shared]
     _, column = np.unique(column, return_inverse=True)
     column = column.ravel()
     width = int(column.max()) + 1 if len(column) else 0
-    a, b = np.flatnonzero(left), np.flatnonzero(right)
     product = np.zeros((len(a), len(b)), np.float32)
     place_a, place_b = np.full(len(c), -1), np.full(len(c), -1)
     place_a[a], place_b[b] = np.arange(len(a)), np.arange(len(b))
     for begin in range(0, width, 2048):  # a strip of columns at a time
         here = (column >= begin) & (column < begin + 2048)
         dense = np.zeros((2, max(len(a), len(b)), min(2048, width - begin)), np.float32)
-        for side, place in enumerate((place_a, place_b)):
-            at = place[row[here]]
-            dense[side, at[at >= 0], column[here][at >= 0] - begin] = 1
+        for side, of in enumerate((place_a, place_b)):
+            to = of[row[here]]
+            dense[side, to[to >= 0], column[here][to >= 0] - begin] = 1
         product += dense[0, : len(a)] @ dense[1, : len(b)].T
-    size, last = np.diff(bounds), flat[bounds[1:] - 1]
-    of_a, of_b = lambda x: x[a][:, None], lambda x: x[b][None, :]
-    needed = -(-num * (of_a(n) + of_b(n)) // (num + den))
     least = np.where(
         of_a(last) <= of_b(last), of_a(size) - of_a(n) + needed, of_b(size) - of_b(n) + needed
     )
-    alike = (product >= np.maximum(least, 1)) & (np.minimum(of_a(n), of_b(n)) >= needed)
-    alike &= (of_a(root) != of_b(root)) & ((of_a(c) < of_b(c)) | ~of_b(left))
+    alike &= product >= np.maximum(least, 1)
+    side = lambda x: (flat[bounds[x] : bounds[x + 1]], at[bounds[x] : bounds[x + 1]], size[x], last[x])
     for i, j in np.argwhere(alike):
         x, y = a[i], b[j]
-        lead_x, lead_y = flat[bounds[x] : bounds[x + 1]], flat[bounds[y] : bounds[y + 1]]
-        if passing(lead_x, lead_y, n[x], n[y], int(product[i, j]), num, den):
+        if passing(side(x), side(y), n[x], n[y], int(product[i, j]), num, den):
             yield int(min(c[x], c[y])), int(max(c[x], c[y]))
 
 
+def with_id_among(rows: DataFrame, id_col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
+    """The rows whose id is wanted, and few others: an inner join on it must follow.
+
+    Bitmaps of the wanted ids' hashes are sent to the rows, so that the join moves few texts.
+    They are bounded; where they do not suffice for the ids, more rows pass.
+    """
+    count = -(-wanted.count() * BITS_EACH // BITMAP_BITS)
+    bits = BITMAP_BITS << min(max(count - 1, 0).bit_length(), MOST_BITMAPS.bit_length() - 1)
+    spot = lambda x: F.pmod(F.xxhash64(x), F.lit(bits)) + 1
+    bitmaps = wanted.select(
+        F.bitmap_bucket_number(spot(wanted_col)).alias("__bucket"), F.bitmap_bit_position(spot(wanted_col)).alias("bit")
+    )
+    bitmaps = bitmaps.groupBy("__bucket").agg(F.bitmap_construct_agg("bit").alias("__bitmap"))
+    bit = F.bitmap_bit_position(spot(id_col))
+    byte = F.conv(F.hex(F.substring("__bitmap", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.pmod(F.floor(byte / F.pow(F.lit(2.0), bit % 8)), F.lit(2)) == 1
+    near = rows.withColumn("__bucket", F.bitmap_bucket_number(spot(id_col)))
+    return near.join(F.broadcast(bitmaps), "__bucket").where(is_set).drop("__bucket", "__bitmap")
+
+
+def size_band(n: Column, num: int, den: int) -> Column:
+    """A number for sizes; sets that can be similar have the same or neighbouring ones."""
+    # A little wider than the threshold's ratio, so that rounding cannot part two by more.
+    return F.floor(F.log(n) / F.lit(1.0001 * math.log(den / num))) if num < den else n
+
+
 def similar_components(
     docs: DataFrame,
     *,
@@ -173,19 +217,14 @@ def similar_components(
                 part = batch.slice(begin, 128)
                 ids = [ordered_ids(h, levels.value) for h in shingle_sets(part.column(1).to_pylist(), size)]
                 sizes = np.array([len(x) for x in ids])
-                if whole:  # only the texts whose set is asked for
-                    asked = part.column(2).to_pylist()
-                    mine = [i for i, x in enumerate(ids) if digest_of(x) == asked[i]]
-                    part, listed, rest = part.take(pa.array(mine, pa.int64())), [ids[i] for i in mine], []
-                else:
-                    listed = [x[: leading(len(x), num, den)] if len(x) else x for x in ids]
-                    rest = [pa.array(sizes, pa.int64()), pa.array(map(digest_of, ids), pa.binary())]
+                listed = ids if whole else [x[: leading(len(x), num, den)] if len(x) else x for x in ids]
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum([len(x) for x in listed])]), pa.int32()),
                     pa.array(np.concatenate(listed) if listed else np.zeros(0, np.int64), pa.int64()),
                 )
+                digests = pa.array(map(digest_of, ids), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *rest, lists], names=["c", "ids"] if whole else names
+                    [part.column(0), pa.array(sizes, pa.int64()), digests, lists], names=names
                 )
 
     heads = written(
@@ -205,47 +244,65 @@ def similar_components(
         heads.where("digest is not null").groupBy("__id").count().where("count > 1").limit(1).count()
     )
     # Who else has a leading n-gram.  A text that others are copies of shares the most of them.
-    entries = classes.select(F.explode("lead").alias("s"), "c", "n")
+    entries = classes.select(F.posexplode("lead").alias("place", "s"), "c")
     met = entries.groupBy("s").agg(F.count("*").alias("many")).where("many > 1")
-    postings = written(entries.join(met, "s"), "join-postings")
-    degrees = postings.groupBy("c").agg(F.sum("many").alias("degree"))
-    postings = written(
-        postings.drop("many").join(degrees, "c").withColumn("root", F.col("c")), "join-postings"
+    shared = entries.join(met, "s").groupBy("c").agg(
+        F.sum("many").alias("degree"), F.array_sort(F.collect_list(F.struct("s", "place"))).alias("met")
+    )
+    sizes = classes.select("c", "n", F.size("lead").alias("size"), F.element_at("lead", -1).alias("last"))
+    lead = written(
+        shared.join(sizes, "c").select(
+            "c", "n", "degree", "size", "last", F.col("met.s").alias("ids"), F.col("met.place").alias("at")
+        ),
+        "join-shared",
     )
-    lead = classes.select("c", "n", "lead")
+    postings = lead.select("c", "n", "degree", F.explode(F.arrays_zip("ids", "at")).alias("m"))
+    postings = postings.select(
+        F.col("m.ids").alias("s"), F.col("m.at").alias("place"), "c", "n", "degree", F.col("c").alias("root")
+    )
+    postings = written(postings, "join-postings")
+    lead = lead.drop("degree")
+    needed_of = lambda a, b: F.ceil(F.lit(num) * (F.col(a) + F.col(b)) / F.lit(num + den))
 
     def bounded(pairs: DataFrame) -> DataFrame:
         # Both sides, and the blocks below, read the leading n-grams in one form: one shuffle.
         full = pairs.alias("p").join(lead.alias("x"), F.col("p.a") == F.col("x.c"))
-        full = full.join(lead.alias("y"), F.col("p.b") == F.col("y.c")).selectExpr(
-            "a", "b", "x.n AS n_a", "x.lead AS lead_a", "y.n AS n_b", "y.lead AS lead_b"
-        )
-        needed = F.ceil(F.lit(num) * (F.col("n_a") + F.col("n_b")) / F.lit(num + den))
-        end = F.least(F.element_at("lead_a", -1), F.element_at("lead_b", -1))
-        upto = lambda x: F.size(F.filter(x, lambda i: i <= F.col("end")))
-        overlap = F.size(F.array_intersect("lead_a", "lead_b"))
-        full = full.withColumn("end", end).withColumn("needed", needed)
-        full = full.where(F.least("n_a", "n_b") >= F.col("needed"))
+        full = full.join(lead.alias("y"), F.col("p.b") == F.col("y.c"))
+        full = full.select("a", "b", *[F.col(f"{t}.{c}").alias(f"{c}_{t}") for t in "xy" for c in lead.columns[1:]])
+        full = full.withColumn("needed", needed_of("n_x", "n_y")).withColumn("end", F.least("last_x", "last_y"))
+        full = full.where(F.least("n_x", "n_y") >= F.col("needed"))
+        overlap = F.size(F.array_intersect("ids_x", "ids_y"))
+
+        def upto(t: str) -> Column:  # at least so many leading n-grams stand up to the end
+            k = F.size(F.filter(f"ids_{t}", lambda i: i <= F.col("end")))
+            known = F.coalesce(F.get(f"at_{t}", k - 1) + 1, F.lit(0))
+            return F.when(F.col(f"last_{t}") == F.col("end"), F.col(f"size_{t}")).otherwise(known)
+
         return full.where(
-            (overlap >= upto("lead_a") - (F.col("n_a") - F.col("needed")))
-            & (overlap >= upto("lead_b") - (F.col("n_b") - F.col("needed")))
+            (overlap >= upto("x") - (F.col("n_x") - F.col("needed")))
+            & (overlap >= upto("y") - (F.col("n_y") - F.col("needed")))
         ).select("a", "b")
 
     def checked(pairs: DataFrame) -> DataFrame:
         """The pairs that are similar on their whole sets."""
         pairs = written(pairs, "join-pairs")
-        asked = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-        wanted = written(asked.join(classes.select("c", "digest", "rep"), "c"), "join-asked")
-        # The row of a set's smallest id stands for it.
-        texts = rows.join(wanted, F.col("__id").eqNullSafe(F.col("rep")))
-        sets = texts.select("c", "text", "digest").mapInArrow(
-            lambda b: sets_of(b, True), "c long, ids array<long>"
-        )
-        sets = written(sets.dropDuplicates(["c"]) if repeated_ids else sets, "join-sets")
-        full = pairs.join(sets.toDF("a", "ids_a"), "a").join(sets.toDF("b", "ids_b"), "b")
+        name = classes.select("c", "digest", "rep")
+        for side in "ab":
+            pairs = pairs.join(name.toDF(side, f"digest_{side}", f"rep_{side}"), side)
+        pairs = written(pairs, "join-asked")
+        # The row of a set's smallest id stands for it; its text stays where it is.
+        asked = pairs.select(F.col("rep_a").alias("rep")).union(pairs.select("rep_b")).distinct()
+        texts = with_id_among(rows, "__id", written(asked, "join-reps"), "rep")
+        sets = texts.select("__id", "text").mapInArrow(
+            lambda b: sets_of(b, True), f"__id {kind}, n long, digest binary, lead array<long>"
+        ).drop("n").toDF("id", "digest", "ids")
+        sets = written(sets.dropDuplicates(["id", "digest"]) if repeated_ids else sets, "join-sets")
+        for side in "ab":
+            of = sets.select(F.col("digest").alias(f"digest_{side}"), "id", F.col("ids").alias(f"ids_{side}"))
+            pairs = pairs.join(of, f"digest_{side}").where(F.col("id").eqNullSafe(F.col(f"rep_{side}"))).drop("id")
         both = F.size(F.array_intersect("ids_a", "ids_b"))
         union = F.size("ids_a") + F.size("ids_b") - F.col("both")
-        return full.withColumn("both", both).where(F.col("both") * den >= union * num).select("a", "b")
+        return pairs.withColumn("both", both).where(F.col("both") * den >= union * num).select("a", "b")
 
     sizes_alike = lambda a, b: F.least(a, b) * den >= F.greatest(a, b) * num
     hub = F.max(F.struct("degree", "c", "root", "n")).alias("hub")
@@ -269,19 +326,41 @@ def similar_components(
         .where("low != high")
         .select("s", "many")
     )
-    few = placed.join(mixed.where(F.col("many") <= FEW), "s")
-    pairs = few.select("s", F.col("c").alias("a"), "n", "root").join(
-        few.select("s", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b")), "s"
+    # Rows of one cell are compared: those of an n-gram, or of a frequent one those of a size band
+    # (low) with one another and with those of the next band.
+    own = F.when(F.col("many") > FEW, size_band(F.col("n"), num, den)).otherwise(F.lit(0)).cast("long")
+    bands = F.when(F.col("many") > FEW, F.array(own, own - 1)).otherwise(F.array(own))
+    banded = placed.drop("degree").join(mixed, "s").withColumn("band", F.explode(bands))
+    banded = written(banded.withColumn("low", F.col("band") == own), "join-banded")
+    rows_after = F.col("n") - F.col("place")
+    cells = (
+        banded.where(F.col("many") > FEW)
+        .groupBy("s", "band")
+        .agg(
+            F.count("*").alias("many"), F.min("root").alias("from"), F.max("root").alias("to"),
+            F.bool_or("low").alias("any_low"), F.min("n").alias("least"), F.max(rows_after).alias("most"),
+        )
+        .where("from != to AND any_low")
+        .drop("from", "to", "any_low")
     )
-    pairs = pairs.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & sizes_alike("n", "n_b"))
-    pairs = bounded(pairs.select("a", "b").distinct())
-    mixed = mixed.where(F.col("many") > FEW)
-    blocks = F.ceil(F.col("many") / F.lit(float(BLOCK_ROWS)))
-    block = F.pmod(F.xxhash64("c"), F.col("blocks"))
-    left = placed.join(mixed.withColumn("blocks", blocks), "s").withColumn("block", block)
+    frequent = banded.where(F.col("many") > FEW).drop("many").join(cells, ["s", "band"])
+    # Not the rows that even the smallest and the earliest of the cell cannot match.
+    smallest = F.greatest("least", F.ceil(F.col("n") * num / F.lit(den)))
+    needed = F.ceil(F.lit(num) * (F.col("n") + smallest) / F.lit(num + den))
+    frequent = frequent.where(F.least(rows_after, "most") >= needed).drop("least", "most")
+    few = banded.where(F.col("many") <= FEW).unionByName(frequent.where(F.col("many") <= FEW)).drop("many")
+    of = lambda c, side: F.col(f"{side}.{c}")
+    pairs = few.alias("x").join(few.alias("y"), (of("s", "x") == of("s", "y")) & (of("band", "x") == of("band", "y")))
+    pairs = pairs.where((of("c", "x") < of("c", "y")) & (of("root", "x") != of("root", "y")) & (of("low", "x") | of("low", "y")))
+    after = F.least(of("n", "x") - of("place", "x"), of("n", "y") - of("place", "y"))
+    pairs = pairs.where(after >= needed_of("x.n", "y.n"))
+    pairs = bounded(pairs.select(of("c", "x").alias("a"), of("c", "y").alias("b")).distinct())
+    left = frequent.where(F.col("many") > FEW)
+    left = left.withColumn("blocks", F.ceil(F.col("many") / F.lit(float(BLOCK_ROWS))))
+    left = left.withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     left = left.select(
-        "s", "c", "root",
+        "s", "band", "c", "root", "place", "low",
         F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
     ).join(lead, "c")
 
@@ -290,11 +369,12 @@ def similar_components(
         if not held:
             return
         t = pa.Table.from_batches(held)
-        t = t.sort_by([("s", "ascending"), ("i", "ascending"), ("j", "ascending")])
-        marks = [t.column(x).to_numpy() for x in ("s", "i", "j", "block")]
-        t = t.append_column("left", pa.array(marks[3] == marks[1]))
-        t = t.append_column("right", pa.array(marks[3] == marks[2]))
-        change = np.concatenate([[True], np.any([m[1:] != m[:-1] for m in marks[:3]], axis=0)])
+        keys = ("s", "band", "i", "j")
+        t = t.sort_by([(x, "ascending") for x in keys])
+        *marks, block = (t.column(x).to_numpy() for x in (*keys, "block"))
+        t = t.append_column("left", pa.array(block == marks[2]))
+        t = t.append_column("right", pa.array(block == marks[3]))
+        change = np.concatenate([[True], np.any([m[1:] != m[:-1] for m in marks], axis=0)])
         starts = np.append(np.flatnonzero(change), t.num_rows)
         found: set[tuple[int, int]] = set()
         for a, b in zip(starts[:-1], starts[1:], strict=True):
@@ -305,7 +385,7 @@ def similar_components(
             [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"]
         )
 
-    crossing = left.repartition("s", "i", "j").mapInArrow(multiplied, "a long, b long")
+    crossing = left.repartition("s", "band", "i", "j").mapInArrow(multiplied, "a long, b long")
     more = checked(crossing.union(pairs).distinct())
     roots = components(written(links.unionByName(more), "join-links"))
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -15,6 +16,7 @@ from strata.llm import (
     ann_forest, graph, licences, line_dedup, mixing, ngram_join, ppm, sentencepiece_bpe, spotsigs,
     suffix_dedup, toxicity,
 )
+from strata.llm.common import written
 
 SCHEMA = "doc_id long, text string, lang string, source string, score double, key string, n long"
 
@@ -175,6 +177,46 @@ def test_ngram_join_without_stars_loses_nothing(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == roots_by_brute_force(chain, 4, 85, 100)
 
 
+def test_ngram_join_moves_no_text_and_no_lone_ngram(spark, monkeypatch, docs, texts):
+    plans, tables = [], {}
+
+    def seen(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        tables[label] = written(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(ngram_join, "written", seen)
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = ngram_join.similar_components(docs, size=4, threshold=(85, 100)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == roots_by_brute_force(texts, 4, 85, 100)
+    exchanged = [re.findall(r"hashpartitioning\((\w+)#", plan) for label, plan in plans if label == "join-sets"]
+    assert exchanged and all(set(keys) <= {"__bucket"} for keys in exchanged)
+    moved = Counter(s for r in tables["join-shared"].collect() for s in r.ids)
+    assert moved and min(moved.values()) > 1
+
+
+def test_ids_found_by_bitmaps(spark):
+    rows = spark.range(100_000).withColumn("id", F.when(F.col("id") != 5, F.col("id")))
+    wanted = spark.createDataFrame([(i,) for i in [*range(0, 100_000, 37), None]], "rep long")
+    found = [r.id for r in ngram_join.with_id_among(rows, "id", wanted, "rep").collect()]
+    assert {r.rep for r in wanted.collect()} <= set(found)
+    assert len(found) < wanted.count() + 0.02 * rows.count()
+    nothing = ngram_join.with_id_among(rows, "id", wanted.limit(0), "rep")
+    assert nothing.columns == ["id"] and not nothing.count()
+
+
+@pytest.mark.parametrize("num,den", [(85, 100), (80, 100), (1, 2), (1, 1)])
+def test_sizes_alike_are_in_neighbouring_bands(spark, num, den):
+    bands = dict(spark.range(1, 5000).select("id", ngram_join.size_band(F.col("id"), num, den)).collect())
+    for n in bands:  # the bands rise with the sizes, so the largest tells
+        assert abs(bands[min(n * den // num, 4999)] - bands[n]) <= 1
+
+
 def test_representatives(awkward, texts):
     kept = Counter(r.doc_id for r in ngram_join.representatives(awkward).collect())
     assert kept[3] == 1 and not kept[40] and not kept[41] and not kept[42]
