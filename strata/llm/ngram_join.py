@@ -25,11 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
-from strata.llm.graph import components
+from strata.llm.graph import parents
 from strata.llm.shingles import shingle_sets
 
 #: Slots of the table that tells frequent n-grams from others; fixed, whatever the corpus.
@@ -161,13 +161,17 @@ def _products(table: pa.Table, num: int, den: int) -> Iterator[tuple[int, int]]:
             yield int(min(c[x], c[y])), int(max(c[x], c[y]))
 
 
-def with_id_among(rows: DataFrame, id_col: str, wanted: DataFrame, wanted_col: str) -> DataFrame:
+def with_id_among(
+    rows: DataFrame, id_col: str, wanted: DataFrame, wanted_col: str, many: int | None = None
+) -> DataFrame:
     """The rows whose id is wanted, and few others: an inner join on it must follow.
 
     Bitmaps of the wanted ids' hashes are sent to the rows, so that the join moves few texts.
-    They are bounded; where they do not suffice for the ids, more rows pass.
+    They are bounded; where they do not suffice for the ids, more rows pass.  ``many``: the number
+    of the wanted rows, if it is known.
     """
-    count = -(-wanted.count() * BITS_EACH // BITMAP_BITS)
+    many = wanted.count() if many is None else many
+    count = -(-many * BITS_EACH // BITMAP_BITS)
     bits = BITMAP_BITS << min(max(count - 1, 0).bit_length(), MOST_BITMAPS.bit_length() - 1)
     spot = lambda x: F.pmod(F.xxhash64(x), F.lit(bits)) + 1
     bitmaps = wanted.select(
@@ -292,7 +296,9 @@ def similar_components(
         pairs = written(pairs, "join-asked")
         # The row of a set's smallest id stands for it; its text stays where it is.
         asked = pairs.select(F.col("rep_a").alias("rep")).union(pairs.select("rep_b")).distinct()
-        texts = with_id_among(rows, "__id", written(asked, "join-reps"), "rep")
+        reps = Observation()
+        asked = written(asked.observe(reps, F.count("*").alias("n")), "join-reps")
+        texts = with_id_among(rows, "__id", asked, "rep", reps.get["n"])
         sets = texts.select("__id", "text").mapInArrow(
             lambda b: sets_of(b, True), f"__id {kind}, n long, digest binary, lead array<long>"
         ).drop("n").toDF("id", "digest", "ids")
@@ -304,9 +310,13 @@ def similar_components(
         union = F.size("ids_a") + F.size("ids_b") - F.col("both")
         return pairs.withColumn("both", both).where(F.col("both") * den >= union * num).select("a", "b")
 
+    def joined(roots: DataFrame | None, new: DataFrame) -> DataFrame:
+        """The roots after new links; the components known so far are taken as stars."""
+        return parents(new if roots is None else roots.toDF("a", "b").union(new))
+
     sizes_alike = lambda a, b: F.least(a, b) * den >= F.greatest(a, b) * num
     hub = F.max(F.struct("degree", "c", "root", "n")).alias("hub")
-    placed, links = postings, None
+    placed, roots = postings, None
     for turn in range(STAR_TURNS):
         hubs = placed.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high"), hub)
         hubs = hubs.where("low != high").select("s", "hub")
@@ -315,10 +325,8 @@ def similar_components(
             hubs = hubs.groupBy("s").agg(hub)
         stars = placed.join(hubs, "s").where("root != hub.root")
         stars = stars.where(sizes_alike("n", F.col("hub.n"))).select(F.least("c", "hub.c").alias("a"), F.greatest("c", "hub.c").alias("b"))
-        new = checked(bounded(written(stars.distinct(), "join-stars")))
-        links = written(new if links is None else links.unionByName(new), "join-links")
-        roots = components(links).withColumnRenamed("node", "c")
-        placed = placed.drop("root").join(roots, "c", "left")
+        roots = joined(roots, checked(bounded(written(stars.distinct(), "join-stars"))))
+        placed = placed.drop("root").join(roots.withColumnRenamed("node", "c"), "c", "left")
         placed = written(placed.withColumn("root", F.coalesce("root", "c")), "join-placed")
     mixed = (
         placed.groupBy("s")
@@ -386,8 +394,7 @@ def similar_components(
         )
 
     crossing = left.repartition("s", "band", "i", "j").mapInArrow(multiplied, "a long, b long")
-    more = checked(crossing.union(pairs).distinct())
-    roots = components(written(links.unionByName(more), "join-links"))
+    roots = joined(roots, checked(crossing.union(pairs).distinct()))
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "root", F.coalesce("root", "c")
     )

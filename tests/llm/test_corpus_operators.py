@@ -229,6 +229,21 @@ def test_components(spark):
     assert found == {i: 0 for i in range(31)} | {100: 50, 50: 50, 77: 50}
 
 
+def test_components_start_few_jobs(spark):
+    """Each job takes memory of the driver, whatever its size."""
+    links = spark.createDataFrame([(i % 7, i) for i in range(7, 300)], "a long, b long")
+    context = spark.sparkContext
+    context.setJobGroup("stars", "components of stars")
+    try:
+        found = graph.components(links)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    jobs = len(context.statusTracker().getJobIdsForGroup("stars"))
+    assert dict(found.collect()) == {i: i % 7 for i in range(300)}
+    assert 0 < jobs <= 10, jobs
+
+
 def test_line_dedup(docs, awkward, texts):
     found = {r.doc_id: r for r in line_dedup.aligned_lines(docs).collect()}
     assert len(found) == len(texts) and found[3]["__deleted"] is None
