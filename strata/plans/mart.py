@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.casts import MONEY_SUM, guarded_ratio
@@ -169,6 +169,26 @@ def _with_insured(mart: DataFrame, insured: DataFrame) -> DataFrame:
     return policies.join(side, condition, "left").drop("__insured")
 
 
+def slice_of(gold: Gold, silver: Silver, i: int, n: int) -> tuple[Gold, Silver]:
+    """The tables with only the rows of every n-th policy, by a hash of its key.
+
+    Lookups by other keys stay whole.  A policy has its key in all of these tables; the insured's
+    is the same one (see :func:`_with_insured`).
+    """
+
+    def mine(key) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)) == i
+
+    keys = {
+        "dim_policy": "policy_key", "dim_insured": "insured_key", "fact_premium": "policy_key",
+        "fact_claim_transaction": "policy_key", "dim_claim": "policy_key",
+    }
+    return (
+        {name: df.filter(mine(keys[name])) if name in keys else df for name, df in gold.items()},
+        {name: df.filter(mine(foreign_key("policy_id"))) for name, df in silver.items()},
+    )
+
+
 def mart_policy_360(
     gold: Gold, silver: Silver, as_of: date, lines: Sequence[Line] = LINES
 ) -> DataFrame | None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -13,9 +13,18 @@ from pyspark.sql import functions as F
 from strata.operators.quality import VALID
 from strata.plans import dimensions as dims
 from strata.plans import facts
-from strata.plans.mart import mart_policy_360
+from strata.plans.mart import mart_policy_360, slice_of
 from strata.plans.silver import build_silver
-from strata.sinks.tables import create_schemas, recover_table, row_counts, write_table
+from strata.session import scratch_path, shuffles_removed
+from strata.sinks.tables import (
+    COMPRESSION,
+    create_schemas,
+    estimated_bytes,
+    recover_table,
+    row_counts,
+    write_slices,
+    write_table,
+)
 from strata.sources.manifest import CONCURRENT_LOADS, SEMI_STRUCTURED, STRUCTURED, ingest_all
 from strata.sources.readers import literal_relation, optional_table
 from strata.specs.lines import LINES, Line, silver_specs
@@ -28,6 +37,11 @@ LAYER_COMMENTS = {
 }
 
 
+#: Stored bytes of the mart's inputs for each slice it is written in, and the most slices: each
+#: of them reads the inputs once more.
+MART_SLICE_BYTES = 64 * 1024**2
+MAX_MART_SLICES = 8
+
 WRITTEN_DDL = """layer string, table_name string, row_count bigint, invalid_rows bigint,
     key_checksum decimal(38,0), content_checksum decimal(38,0)"""
 
@@ -80,6 +94,22 @@ class Layers:
         write_table(df, self.name(layer, table), fmt=self.fmt, **options)
         return self.spark.table(self.name(layer, table))
 
+    def write_slices(self, layer: str, table: str, slices: Iterable[DataFrame]) -> None:
+        """One table from frames that are built and written one after the other."""
+        watched: list[Observation] = []
+
+        def each() -> Iterator[DataFrame]:
+            for df in slices:
+                if self.observe:
+                    watched.append(Observation())
+                    df = with_metrics(df, watched[-1])
+                yield df
+
+        write_slices(self.spark, each(), self.name(layer, table), fmt=self.fmt)
+        if watched:
+            found = [w.get for w in watched]
+            self.metrics[layer, table] = {k: sum(m[k] or 0 for m in found) for k in found[0]}
+
     def optional(self, layer: str, table: str) -> DataFrame | None:
         # A replacement that ended half-way must not look like a table that never was.
         recover_table(self.spark, self.name(layer, table))
@@ -224,6 +254,44 @@ def build_mart(layers: Layers, as_of: date, lines: Sequence[Line] = LINES) -> Da
     return mart_policy_360(gold, keyed_silver(layers, lines), as_of, lines)
 
 
+def mart_slices(
+    layers: Layers, as_of: date, lines: Sequence[Line] = LINES, slices: int | None = None
+) -> Iterator[DataFrame]:
+    """The rows of :func:`build_mart` in frames by a hash of the policy key, to be written in turn.
+
+    All joins are on that key, or on keys of the policy's own row, so a slice needs only its
+    share of the tables at policy grain, and only that share lies in shuffle files at a time.
+    Each slice reads the tables again; small ones are therefore taken in one.
+    """
+    gold, silver = layers.existing("gold", GOLD_INPUTS), keyed_silver(layers, lines)
+    if slices is None:
+        held = sum(estimated_bytes(df) for df in (*gold.values(), *silver.values()))
+        slices = min(max(1, held // MART_SLICE_BYTES), MAX_MART_SLICES)
+    for i in range(slices):
+        if slices > 1:
+            shares = slice_of(gold, silver, i, slices)
+        else:
+            shares = gold, silver
+        mart = mart_policy_360(*shares, as_of, lines)
+        if mart is not None:
+            yield mart
+
+
+def run_mart(layers: Layers, as_of: date, lines: Sequence[Line] = LINES) -> None:
+    layers.write_slices("gold", "mart_policy_360", mart_slices(layers, as_of, lines))
+
+
+def staged_mart(layers: Layers, as_of: date, lines: Sequence[Line] = LINES) -> DataFrame | None:
+    """The rows of :func:`build_mart` from a scratch folder, written there slice by slice."""
+    spark, found = layers.spark, None
+    path = scratch_path(spark, "mart")
+    with shuffles_removed(spark):
+        for part in mart_slices(layers, as_of, lines):
+            found = part.schema
+            part.write.mode("append").option("compression", COMPRESSION).parquet(path)
+    return None if found is None else spark.read.schema(found).parquet(path)
+
+
 def run_pipeline(
     layers: Layers,
     as_of: date,
@@ -234,15 +302,20 @@ def run_pipeline(
     coverage_rows: Sequence[tuple] = COVERAGES,
     batch_id: str | None = None,
     ingested_at: datetime | None = None,
+    release: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """Bronze to mart; returns the row count of every table, or what ``layers`` observed."""
+    """Bronze to mart; returns the row count of every table, or what ``layers`` observed.
+
+    ``release`` is called as soon as Silver is written and ``bronze`` has served.
+    """
     layers.create()
-    if landing is not None:
-        run_bronze(layers, landing, batch_id, ingested_at)
-    run_silver(layers, lines, bronze)
-    run_dimensions(layers, lines, lob_rows, coverage_rows)
-    run_facts(layers, lines)
-    mart = build_mart(layers, as_of, lines)
-    if mart is not None:
-        layers.write("gold", "mart_policy_360", mart)
+    with shuffles_removed(layers.spark):
+        if landing is not None:
+            run_bronze(layers, landing, batch_id, ingested_at)
+        run_silver(layers, lines, bronze)
+        if release is not None:
+            release()
+        run_dimensions(layers, lines, lob_rows, coverage_rows)
+        run_facts(layers, lines)
+        run_mart(layers, as_of, lines)
     return layers.written() if layers.observe else layers.counts()

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +75,38 @@ def get_spark(
     return builder.getOrCreate()
 
 
+#: Whether a query's shuffle files go when it ends (Spark 4.1); otherwise they stay until the driver
+#: happens to collect its garbage, which a driver with little to do seldom does.
+REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_removing: dict[str, tuple[int, str | None]] = {}
+_removing_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries of this session go as each query ends, while the block runs.
+
+    For runs of many queries, each of which leaves a table: what one has shuffled is of no use to
+    the next.  Blocks may overlap; the session's own setting is back when the last one ends.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _removing_lock:
+        blocks, before = _removing.get(session) or (0, spark.conf.get(REMOVE_SHUFFLES, None))
+        _removing[session] = (blocks + 1, before)
+        spark.conf.set(REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _removing_lock:
+            blocks, before = _removing.pop(session)
+            if blocks > 1:
+                _removing[session] = (blocks - 1, before)
+            elif before is None:
+                spark.conf.unset(REMOVE_SHUFFLES)
+            else:
+                spark.conf.set(REMOVE_SHUFFLES, before)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: what ``spark.checkpoint.dir`` names.
 
@@ -91,3 +126,9 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; never reused between runs."""
     return f"{shared_root(spark)}/strata/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

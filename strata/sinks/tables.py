@@ -12,7 +12,7 @@ one is live).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -23,6 +23,8 @@ from strata.operators.dedup import deduplicate
 
 STAGED = "__staged_"
 MERGED = "__merged_"
+#: Keys are hexadecimal hashes; entropy coding halves them, which Spark's default (Snappy) cannot.
+COMPRESSION = "zstd"
 
 
 def write_table(
@@ -50,6 +52,8 @@ def write_table(
         # write makes large files instead of one per task and value.
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
@@ -70,6 +74,40 @@ def write_table(
     _take_name(spark, staged, name)
 
 
+def write_slices(spark: SparkSession, frames: Iterable[DataFrame], name: str, fmt: str = "parquet") -> None:
+    """Replace a table by the rows of all frames, each written before the next one is asked for.
+
+    The name is pointed at the new version only when the last frame is written.  Without any
+    frame nothing changes.
+    """
+    if fmt == "delta":
+        for i, df in enumerate(frames):
+            write_table(df, name, "append" if i else "overwrite", fmt)
+        return
+    version = uuid.uuid4().hex
+    schema, table = name.rsplit(".", 1)
+    path = f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/{table}/{version}"
+    last = None
+    for last in frames:
+        writer = last.write.format(fmt).mode("append")
+        if fmt == "parquet":
+            writer = writer.option("compression", COMPRESSION)
+        writer.save(path)
+    if last is None:
+        return
+    if _same_shape(last, name):
+        _point_to(spark, name, path)
+        return
+    staged = f"{name}{STAGED}{version}"
+    spark.catalog.createTable(staged, path, fmt, last.schema)
+    _take_name(spark, staged, name)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of a frame's size; for a table read whole, that of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def _same_shape(df: DataFrame, name: str) -> bool:
     """Is there such a table, with the same columns and neither partitions nor buckets?"""
     spark = df.sparkSession

@@ -18,9 +18,9 @@ from strata.plans.mart import claim_status_counts, claims_rollup, premium_rollup
 from strata.plans.pipeline import (
     GOLD_INPUTS,
     Layers,
-    build_mart,
     run_pipeline,
     silver_tables,
+    staged_mart,
 )
 from strata.plans.silver import build_line, build_silver
 from strata.plans.validation import mart_sanity, validate_mart
@@ -36,6 +36,7 @@ from strata.workload.raw import (
     CLAIM_TABLES,
     POLICY_TABLES,
     STATE,
+    SharedLines,
     amount,
     bronze_frame,
     land_files,
@@ -63,7 +64,8 @@ def lake(spark: SparkSession, sf: str) -> Layers:
     with _lake_lock:
         if session not in _lakes:
             layers = new_lake(spark)
-            run_pipeline(layers, AS_OF, bronze=lambda name: bronze_frame(spark, sf, name))
+            feed = SharedLines(spark, sf)
+            run_pipeline(layers, AS_OF, bronze=feed, release=feed.release)
             _lakes[session] = layers
         return _lakes[session]
 
@@ -346,7 +348,7 @@ def status_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("policy_360", whole("mart_policy_360"))
 def policy_360(spark: SparkSession, sf: str) -> DataFrame:
-    return build_mart(lake(spark, sf), AS_OF)
+    return staged_mart(lake(spark, sf), AS_OF)
 
 
 def _mart(spark: SparkSession, sf: str) -> DataFrame:
@@ -579,7 +581,8 @@ def _counts(layer: str, tables) -> str:
 def pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """A fresh run of every layer; rows per table written."""
     layers = new_lake(spark)
-    counts = run_pipeline(layers, AS_OF, bronze=lambda name: bronze_frame(spark, sf, name))
+    feed = SharedLines(spark, sf)
+    counts = run_pipeline(layers, AS_OF, bronze=feed, release=feed.release)
     layer = F.substring_index("schema_name", "_", -1).alias("layer")
     return counts.select(layer, "table_name", "row_count")
 

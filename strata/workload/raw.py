@@ -8,11 +8,15 @@ negative amounts, repeated claims, claims without a policy, and lines delivered
 
 from __future__ import annotations
 
+import re
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import remove_folder, scratch_path, shuffles_removed
 from strata.sinks.files import write_csv, write_json_lines
+from strata.sinks.tables import COMPRESSION
 from strata.sources.manifest import SEMI_STRUCTURED, STRUCTURED
 from strata.specs.reference import US_STATES
 
@@ -353,6 +357,48 @@ def bronze_frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.selectExpr(*[f"{sql} AS {c}" for c, sql in columns.items()])
 
 
+class SharedLines:
+    """The Bronze tables of one run: calling it with a name gives :func:`bronze_frame`'s rows.
+
+    The line items meet their orders once for all claim tables and lie by priority in a scratch
+    folder, so they are shuffled once and not once per table.  ``release`` removes the folder.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._lock, self._found = threading.Lock(), None
+        self._path = scratch_path(spark, "lines")
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in CLAIM_TABLES:
+            return bronze_frame(self.spark, self.sf_dir, name)
+        code, columns = CLAIM_TABLES[name]
+        lines = self._lines()
+        rows = lines.filter(lines.o_orderpriority == PRIORITY[code])
+        return rows.selectExpr(*[f"{sql} AS {c}" for c, sql in columns.items()])
+
+    def _lines(self) -> DataFrame:
+        with self._lock:
+            if self._found is None:
+                orders = table(self.spark, self.sf_dir, "orders")
+                mine = orders.filter(orders.o_orderpriority.isin([*PRIORITY.values()]))
+                lines = table(self.spark, self.sf_dir, "lineitem")
+                texts = " ".join(sql for _, columns in CLAIM_TABLES.values() for sql in columns.values())
+                used = [c for c in lines.columns if re.search(rf"\b{c}\b", texts)]
+                joined = lines.join(
+                    mine.select("o_orderkey", "o_orderpriority"), lines.l_orderkey == mine.o_orderkey
+                ).select(*used, "o_orderpriority")
+                writer = joined.write.option("compression", COMPRESSION).partitionBy("o_orderpriority")
+                writer.parquet(self._path)
+                self._found = self.spark.read.schema(joined.schema).parquet(self._path)
+            return self._found
+
+    def release(self) -> None:
+        with self._lock:
+            self._found = None
+            remove_folder(self.spark, self._path)
+
+
 def bronze_sql(name: str) -> str:
     """The same table as SQL text."""
     if name in POLICY_TABLES:
@@ -373,7 +419,10 @@ BRONZE_TABLES = (*POLICY_TABLES, *CLAIM_TABLES)
 def land_files(spark: SparkSession, sf_dir: str, base: str) -> None:
     """The derived tables as files in the folders and formats of the manifest."""
     writers = {"csv": write_csv, "json": write_json_lines}
-    for source in (*STRUCTURED, *SEMI_STRUCTURED):
-        if source.table in BRONZE_TABLES:
-            arrived = bronze_frame(spark, sf_dir, source.table).drop("_ingestion_timestamp")
-            writers[source.fmt](arrived, f"{base}/{source.path}")
+    feed = SharedLines(spark, sf_dir)
+    with shuffles_removed(spark):
+        for source in (*STRUCTURED, *SEMI_STRUCTURED):
+            if source.table in BRONZE_TABLES:
+                arrived = feed(source.table).drop("_ingestion_timestamp")
+                writers[source.fmt](arrived, f"{base}/{source.path}")
+    feed.release()

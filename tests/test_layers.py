@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -12,10 +13,17 @@ from pyspark.sql import types as T
 from strata.plans import dimensions as dims
 from strata.plans import facts, reports
 from strata.plans.mart import mart_policy_360
-from strata.plans.pipeline import GOLD_INPUTS, build_mart, run_pipeline, silver_tables
+from strata.plans.pipeline import (
+    GOLD_INPUTS,
+    build_mart,
+    mart_slices,
+    run_pipeline,
+    silver_tables,
+    staged_mart,
+)
 from strata.plans.silver import build_line, build_silver
 from strata.plans.validation import assert_valid, validate_mart
-from strata.session import scratch_path
+from strata.session import REMOVE_SHUFFLES, scratch_path, shuffles_removed
 from strata.specs.bronze import (
     PAYLOAD_DDL,
     flat_columns,
@@ -37,7 +45,7 @@ from strata.specs.lines import (
     silver_specs,
 )
 from strata.specs.reference import LINES_OF_BUSINESS, PROFESSIONAL_LINE, US_STATES
-from strata.workload.raw import bronze_frame, land_files
+from strata.workload.raw import BRONZE_TABLES, SharedLines, bronze_frame, land_files
 
 AS_OF = date(2024, 6, 30)
 SF = "/root/testdata/sf0.001"
@@ -419,3 +427,72 @@ def test_the_mart_joins_the_attributes_of_all_lines_once(spark, plan):
 
     text = plan(build_mart(lake(spark, "/root/testdata/sf0.001"), AS_OF))
     assert text.count("Join ") + text.count("Join(") <= 8, text
+
+
+# --- disk -------------------------------------------------------------------------------
+
+
+def shuffle_files(spark):
+    """Shuffle files of the session that lie on disk just now."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = [blocks.apply(i).name() for i in range(blocks.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, layers):
+    before = shuffle_files(spark)
+    feed = SharedLines(spark, SF)
+    run_pipeline(layers, AS_OF, bronze=feed, release=feed.release)
+    until = time.time() + 20  # they go in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(REMOVE_SHUFFLES) == "false"
+
+
+def test_overlapping_blocks_give_the_setting_back(spark):
+    outer, inner = shuffles_removed(spark), shuffles_removed(spark)
+    outer.__enter__()
+    inner.__enter__()
+    outer.__exit__(None, None, None)
+    assert spark.conf.get(REMOVE_SHUFFLES) == "true"
+    inner.__exit__(None, None, None)
+    assert spark.conf.get(REMOVE_SHUFFLES) == "false"
+
+
+def test_claim_tables_share_one_join_of_the_lines(spark, tmp_path):
+    folder = str(tmp_path)
+    orders = [(1, "1-URGENT"), (1, "1-URGENT"), (1, "2-HIGH"), (2, "3-MEDIUM"), (3, None), (4, "other"), (None, "5-LOW"), (5, "4-NOT SPECIFIED")]
+    source = spark.read.parquet(f"{SF}/orders.parquet")
+    made = spark.createDataFrame(orders, "k long, p string").crossJoin(source.limit(1))
+    made.selectExpr(*[{"o_orderkey": "k AS o_orderkey", "o_orderpriority": "p AS o_orderpriority"}.get(c, c) for c in source.columns]).write.parquet(f"{folder}/orders.parquet")
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    keys = spark.createDataFrame([(k,) for k in (1, 1, 2, 3, 4, 5, 6, None)], "k long").crossJoin(lines.limit(2))
+    keys.selectExpr(*["k AS l_orderkey" if c == "l_orderkey" else c for c in lines.columns]).write.parquet(f"{folder}/lineitem.parquet")
+    feed = SharedLines(spark, folder)
+    for name in BRONZE_TABLES:
+        got = feed(name)
+        assert got.schema == bronze_frame(spark, folder, name).schema
+        assert rows(got) == rows(bronze_frame(spark, folder, name)), name
+    assert not any("lineitem" in f for f in feed("auto_claims_csv").inputFiles())
+    feed.release()
+    assert rows(feed("auto_claims_csv")) == rows(bronze_frame(spark, folder, "auto_claims_csv"))
+    feed.release()
+
+
+def test_the_mart_in_slices_has_the_rows_of_the_mart(spark, lake):
+    whole = rows(build_mart(lake, AS_OF))
+    parts = [rows(part) for part in mart_slices(lake, AS_OF, slices=3)]
+    assert len(parts) == 3 and all(parts)
+    assert sorted((r for part in parts for r in part), key=repr) == whole
+    assert len(list(mart_slices(lake, AS_OF))) == 1  # small tables are not read more than once
+    assert rows(staged_mart(lake, AS_OF)) == whole
+
+
+def test_metrics_of_a_table_in_slices_are_those_of_the_whole(spark, layers):
+    layers.observe = True
+    frame = spark.range(9).selectExpr("cast(id as string) AS k", "id > 3 AS _is_valid")
+    layers.write("gold", "once", frame)
+    layers.write_slices("gold", "parts", (frame.filter(f"k % 4 = {i}") for i in range(5)))
+    assert layers.metrics["gold", "parts"] == layers.metrics["gold", "once"]
+    assert rows(spark.table(layers.name("gold", "parts"))) == rows(frame)

@@ -17,6 +17,7 @@ from strata.sinks.tables import (
     recover_table,
     row_counts,
     upsert,
+    write_slices,
     write_table,
 )
 from strata.sources.manifest import (
@@ -336,3 +337,33 @@ def test_csv_keeps_blanks_around_values(spark):
     assert rows(read_csv(spark, path)) == rows(spark.createDataFrame(data, "x string, y string"))
     reland_csv(spark, path, again)
     assert rows(read_csv(spark, again)) == rows(read_csv(spark, path))
+
+
+def test_a_table_in_slices_is_replaced_when_all_are_written(spark, schema):
+    name = f"{schema}.t"
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    write_slices(spark, [], name)
+    assert not spark.catalog.tableExists(name)
+    for _ in range(2):
+        write_slices(spark, (frame.filter(f"k = {k}") for k in (1, 2)), name)
+        assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+
+    def stopped():
+        yield frame.selectExpr("k + 1 AS k", "v")
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        write_slices(spark, stopped(), name)
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b")]
+    write_slices(spark, [frame.selectExpr("v", "k")], name)
+    assert rows(spark.table(name)) == [("a", 1), ("b", 2)]
+
+
+def test_tables_of_hashed_keys_take_half_their_text(spark, schema):
+    frame = spark.range(20_000).selectExpr("md5(cast(id as string)) AS k")
+    write_table(frame, f"{schema}.once")
+    write_slices(spark, [frame], f"{schema}.parts")
+    for name in ("once", "parts"):
+        folder = current_location(spark, f"{schema}.{name}").removeprefix("file:")
+        size = sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.endswith(".parquet"))
+        assert size < 0.6 * 32 * 20_000
