@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import time
 from datetime import date, datetime
 from decimal import Decimal
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from strata.plans import dimensions as dims
 from strata.plans import facts, reports
-from strata.plans.mart import mart_policy_360
+from strata.plans.mart import claims_rollup, mart_policy_360
 from strata.plans.pipeline import (
     GOLD_INPUTS,
     build_mart,
@@ -496,3 +497,22 @@ def test_metrics_of_a_table_in_slices_are_those_of_the_whole(spark, layers):
     layers.write_slices("gold", "parts", (frame.filter(f"k % 4 = {i}") for i in range(5)))
     assert layers.metrics["gold", "parts"] == layers.metrics["gold", "once"]
     assert rows(spark.table(layers.name("gold", "parts"))) == rows(frame)
+
+
+def test_claims_roll_up_shuffles_no_amounts_by_claim(spark, plan):
+    ddl = """policy_key string, claim_key string, paid_amount decimal(18,2),
+    reserve_amount decimal(18,2), total_incurred decimal(18,2), date_key int"""
+    one = Decimal("1.00")
+    data = [
+        ("p", "a", one, None, one, 3), ("p", "a", -one, one, None, None), ("p", "b", None, one, one, 1),
+        ("p", None, one, one, one, 9), ("q", None, None, None, None, None),
+        ("q", None, None, None, None, None), (None, "a", one, one, one, 2), (None, "a", one, one, one, 2),
+        (None, None, one, one, one, 2), ("r", "a", one, one, one, 5),
+    ]
+    got = claims_rollup(spark.createDataFrame(data, ddl))
+    assert rows(got) == sorted([
+        ("p", 2, one, 3 * one, 3 * one, 9, one), ("q", 0, None, None, None, None, None),
+        (None, 1, 3 * one, 3 * one, 3 * one, 2, one), ("r", 1, one, one, one, 5, one),
+    ], key=repr)
+    by_claim = [line for line in plan(got).splitlines() if re.search(r"Aggregate\(keys=\[policy_key#\d+, claim_key#", line)]
+    assert by_claim and all(re.search(r"functions=\[(partial_)?count\(1\)\]", line) for line in by_claim)
