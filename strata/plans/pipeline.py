@@ -306,14 +306,17 @@ def run_pipeline(
 ) -> DataFrame:
     """Bronze to mart; returns the row count of every table, or what ``layers`` observed.
 
-    ``release`` is called as soon as Silver is written and ``bronze`` has served.
+    ``release`` is called as soon as the source is not read any more: ``landing`` once Bronze
+    is written, ``bronze`` once Silver is.
     """
     layers.create()
     with shuffles_removed(layers.spark):
         if landing is not None:
             run_bronze(layers, landing, batch_id, ingested_at)
+            if release is not None and bronze is None:
+                release()
         run_silver(layers, lines, bronze)
-        if release is not None:
+        if release is not None and bronze is not None:
             release()
         run_dimensions(layers, lines, lob_rows, coverage_rows)
         run_facts(layers, lines)

@@ -13,8 +13,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, quote='"', escape='"', **kept).csv(path)
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def write_json_lines(df: DataFrame, path: str, compression: str = "none") -> None:
+    """One object per line; a compressed file is read by one task, so it is as large as one writes it."""
+    df.write.mode("overwrite").option("compression", compression).json(path)
 
 
 def write_xml(df: DataFrame, path: str, row_tag: str = "record", root_tag: str = "records") -> None:

@@ -24,7 +24,7 @@ from strata.plans.pipeline import (
 )
 from strata.plans.silver import build_line, build_silver
 from strata.plans.validation import mart_sanity, validate_mart
-from strata.session import scratch_path
+from strata.session import remove_folder, scratch_path
 from strata.specs.bronze import flat_columns, split_flat
 from strata.specs.lines import LINES, PROFESSIONAL, TableSpec
 from strata.specs.reference import LINES_OF_BUSINESS, PROFESSIONAL_LINE, PROFESSIONS
@@ -633,7 +633,7 @@ def files_to_mart(spark: SparkSession, sf: str) -> DataFrame:
     landing, layers = scratch_path(spark, "landing"), new_lake(spark)
     land_files(spark, sf, landing)
     layers.observe = True
-    written = run_pipeline(layers, AS_OF, landing)
+    written = run_pipeline(layers, AS_OF, landing, release=lambda: remove_folder(spark, landing))
     known = F.when(~F.col("table_name").isin(*_BY_DELIVERY), F.col("key_checksum"))
     return written.select("layer", "table_name", "row_count", known.alias("key_checksum"))
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import threading
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -417,8 +418,12 @@ BRONZE_TABLES = (*POLICY_TABLES, *CLAIM_TABLES)
 
 
 def land_files(spark: SparkSession, sf_dir: str, base: str) -> None:
-    """The derived tables as files in the folders and formats of the manifest."""
-    writers = {"csv": write_csv, "json": write_json_lines}
+    """The derived tables as files in the folders and formats of the manifest.
+
+    JSON repeats every column's name in every row, so its files are compressed; CSV files are
+    plain, as byte ranges of them are read.
+    """
+    writers = {"csv": write_csv, "json": partial(write_json_lines, compression="gzip")}
     feed = SharedLines(spark, sf_dir)
     with shuffles_removed(spark):
         for source in (*STRUCTURED, *SEMI_STRUCTURED):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import time
 from datetime import date, datetime
@@ -24,7 +25,7 @@ from strata.plans.pipeline import (
 )
 from strata.plans.silver import build_line, build_silver
 from strata.plans.validation import assert_valid, validate_mart
-from strata.session import REMOVE_SHUFFLES, scratch_path, shuffles_removed
+from strata.session import REMOVE_SHUFFLES, remove_folder, scratch_path, shuffles_removed
 from strata.specs.bronze import (
     PAYLOAD_DDL,
     flat_columns,
@@ -499,6 +500,25 @@ def test_metrics_of_a_table_in_slices_are_those_of_the_whole(spark, layers):
     assert rows(spark.table(layers.name("gold", "parts"))) == rows(frame)
 
 
+def test_landed_files_go_once_bronze_holds_them(spark, layers):
+    landing, found = scratch_path(spark, "landing"), []
+    land_files(spark, SF, landing)
+    files = [f"{d}/{f}" for d, _, names in os.walk(landing.removeprefix("file:")) for f in names if f.startswith("part-")]
+    assert all(f.endswith(".json.gz") for f in files if "_json/" in f) and any("_json/" in f for f in files)
+    assert all(f.endswith(".csv") for f in files if "_json/" not in f)
+
+    def release():
+        found.append((layers.existing("bronze", BRONZE_TABLES), silver_tables(layers)))
+        remove_folder(spark, landing)
+
+    counts = run_pipeline(layers, AS_OF, landing, release=release)
+    assert [(len(bronze), len(silver)) for bronze, silver in found] == [(len(BRONZE_TABLES), 0)]
+    assert not os.path.exists(landing.removeprefix("file:"))
+    counted = {r.table_name: r.row_count for r in counts.collect()}
+    for name in BRONZE_TABLES:
+        assert counted[name] == bronze_frame(spark, SF, name).count()
+
+
 def test_claims_roll_up_shuffles_no_amounts_by_claim(spark, plan):
     ddl = """policy_key string, claim_key string, paid_amount decimal(18,2),
     reserve_amount decimal(18,2), total_incurred decimal(18,2), date_key int"""
