@@ -124,13 +124,14 @@ def fact_claim_transaction(
     df = union_all(frames)
     if df is None:
         return None
-    if claims is None:
-        df = df.withColumn("claim_key", foreign_key("claim_id"))
-    else:
+    if claims is not None:
         df = resolve_key(df, "claim_id", claims, "claim_id", ["claim_key"], False)
     df = resolve_key(
         df, "policy_id", policies, "policy_id", ["policy_key", "lob_key"], False, ["claim_id"]
     )
+    if claims is None:
+        # Behind the join, whose shuffle would carry the hash next to the id.
+        df = df.withColumn("claim_key", foreign_key("claim_id"))
     incurred = (
         F.col("paid_amount")
         + F.col("reserve_amount")

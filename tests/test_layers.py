@@ -519,6 +519,17 @@ def test_landed_files_go_once_bronze_holds_them(spark, layers):
         assert counted[name] == bronze_frame(spark, SF, name).count()
 
 
+def test_claim_keys_are_hashed_behind_the_join(lake, plan):
+    silver, policies = silver_tables(lake), lake.optional("gold", "dim_policy")
+    lake.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(facts.fact_claim_transaction(silver, policies))
+    finally:
+        lake.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above, _, below = text.partition("SortMergeJoin")
+    assert "AS claim_key" in above and "AS claim_key" not in below
+
+
 def test_claims_roll_up_shuffles_no_amounts_by_claim(spark, plan):
     ddl = """policy_key string, claim_key string, paid_amount decimal(18,2),
     reserve_amount decimal(18,2), total_incurred decimal(18,2), date_key int"""
